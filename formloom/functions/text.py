@@ -5,12 +5,19 @@ Patterns use (?U): digits, spaces and letters are Unicode's, not ASCII's.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPACE = r"[\s\x1c-\x1f]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(text, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
@@ -71,11 +78,13 @@ def blank_number(text: Column, slashes: bool = True, digits: bool = True) -> Col
 
     Only repairs count as corrections, added zeros do not.
     """
-    fixed = repair_slash(text) if slashes else text
-    fixed = repair_digits(fixed) if digits else fixed
-    left, right = (F.regexp_extract(fixed, r"(?U)^(\d{1,3})/(\d{1,2})$", i) for i in (1, 2))
-    value = F.concat(F.lpad(left, 3, "0"), F.lit("/"), F.lpad(right, 2, "0"))
-    return F.when(matches(fixed, r"^\d{1,3}/\d{1,2}$"), F.struct(value.alias("value"), (fixed != text).alias("corrected")))
+    def form(fixed: Column) -> Column:
+        left, right = (F.regexp_extract(fixed, r"(?U)^(\d{1,3})/(\d{1,2})$", i) for i in (1, 2))
+        value = F.concat(F.lpad(left, 3, "0"), F.lit("/"), F.lpad(right, 2, "0"))
+        return F.when(matches(fixed, r"^\d{1,3}/\d{1,2}$"), F.struct(value.alias("value"), (fixed != text).alias("corrected")))
+
+    slashed = repair_slash(text) if slashes else text
+    return let(slashed, lambda s: let(repair_digits(s) if digits else s, form))
 
 
 def insert_slash(text: Column) -> Column:
@@ -85,21 +94,27 @@ def insert_slash(text: Column) -> Column:
 
 def date_of_parts(parts: Column) -> Column:
     """Day, month and year of three numbers or more as DD/MM/YYYY; null of fewer. A year may be two numbers."""
-    n, third = F.size(parts), F.get(parts, F.lit(2))
-    joined = F.concat(third, F.get(parts, F.lit(3)))
-    year = F.when(F.char_length(third) == 4, third).when(n >= 4, joined).otherwise(third)
-    year = F.when(F.char_length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
-    return F.when(n >= 3, F.concat_ws("/", pad2(F.get(parts, F.lit(0))), pad2(F.get(parts, F.lit(1))), year))
+    def made(p: Column) -> Column:
+        n, third = F.size(p), F.get(p, F.lit(2))
+        joined = F.concat(third, F.get(p, F.lit(3)))
+        year = F.when(F.char_length(third) == 4, third).when(n >= 4, joined).otherwise(third)
+        full = let(year, lambda y: F.when(F.char_length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y))
+        return F.when(n >= 3, F.concat_ws("/", pad2(F.get(p, F.lit(0))), pad2(F.get(p, F.lit(1))), full))
+
+    return let(parts, made)
 
 
 def date_of_cells(parts: Column, default_year: str = "2025") -> Column:
     """The same of two numbers or more: a missing year is default_year; null where the ranges are not those of a date."""
-    n, third = F.size(parts), F.get(parts, F.lit(2))
-    length = F.char_length(third)
-    odd = F.when(n >= 4, F.concat(third, F.get(parts, F.lit(3)))).when(length >= 2, F.concat(F.lit("20"), F.substring(third, 1, 2))).otherwise(default_year)
-    year = F.when(n < 3, default_year).when(length == 2, F.concat(F.lit("20"), third)).when(length == 4, third).otherwise(odd)
-    made = F.concat_ws("/", pad2(F.get(parts, F.lit(0))), pad2(F.get(parts, F.lit(1))), year)
-    return F.when((n >= 2) & valid_slash_date(made), made)
+    def made(p: Column) -> Column:
+        n, third = F.size(p), F.get(p, F.lit(2))
+        length = F.char_length(third)
+        odd = F.when(n >= 4, F.concat(third, F.get(p, F.lit(3)))).when(length >= 2, F.concat(F.lit("20"), F.substring(third, 1, 2))).otherwise(default_year)
+        year = F.when(n < 3, default_year).when(length == 2, F.concat(F.lit("20"), third)).when(length == 4, third).otherwise(odd)
+        date = F.concat_ws("/", pad2(F.get(p, F.lit(0))), pad2(F.get(p, F.lit(1))), year)
+        return let(date, lambda d: F.when((n >= 2) & valid_slash_date(d), d))
+
+    return let(parts, made)
 
 
 def valid_slash_date(text: Column) -> Column:

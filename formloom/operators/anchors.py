@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formloom.functions.geometry import pixels
-from formloom.functions.text import has
+from formloom.functions.text import has, let
 
 DETECTION = "struct<i:int,text:string,confidence:double,cx:int,cy:int,x0:int,y0:int,x1:int,y1:int>"
 
@@ -66,10 +66,12 @@ def by_distance(array: Column, distance: Callable[[Column], Column]) -> Column:
 
 def below(array: Column, at: Column, height: Column, dy: Column, dx: Column) -> Column:
     """What stands below an anchor, nearest first. A small overlap (0.3 % of the height) is allowed."""
-    gap = lambda d: d.y0 - at.y1
-    inside = lambda d: gap(d).between(-pixels(0.3, height), dy) & (F.abs(d.cx - at.cx) <= dx) & ~same(d, at)
-    found = by_distance(F.filter(array, inside), lambda d: F.abs(gap(d)))
-    return F.when(at.isNotNull(), found).otherwise(F.array().cast(f"array<{DETECTION}>"))
+    def found(a: Column) -> Column:
+        gap = lambda d: d.y0 - a.y1
+        inside = lambda d: gap(d).between(-pixels(0.3, height), dy) & (F.abs(d.cx - a.cx) <= dx) & ~same(d, a)
+        return F.when(a.isNotNull(), by_distance(F.filter(array, inside), lambda d: F.abs(gap(d)))).otherwise(F.array().cast(f"array<{DETECTION}>"))
+
+    return let(at, found)
 
 
 def right_of(array: Column, at: Column, dx: Column, dy: Column) -> Column:

@@ -23,23 +23,24 @@ def _mean(array: Column) -> Column:
 
 def act_number(header: Column, width: Column, height: Column) -> Column:
     """The first text below ``Номер`` that begins with digits: those digits."""
-    found = A.first(F.filter(A.below(header, A.anchor(header, "Номер"), height, pixels(2.9, height), pixels(2.0, width)), lambda d: T.matches(T.strip(d.text), r"^\d+")))
-    return A.field(T.group(T.strip(found.text), r"^(\d+)"), found.confidence, "header")
+    under = A.below(header, A.anchor(header, "Номер"), height, pixels(2.9, height), pixels(2.0, width))
+    found = A.first(F.filter(under, lambda d: T.matches(T.strip(d.text), r"^\d+")))
+    return T.let(found, lambda d: A.field(T.group(T.strip(d.text), r"^(\d+)"), d.confidence, "header"))
 
 
 def act_date(header: Column, width: Column, height: Column) -> Column:
     """Numbers on the line of ``Дата``, between ``Номер`` and ``Рев``, from left to right."""
-    number, date, revision = (A.anchor(header, k) for k in ("Номер", "Дата", "Рев"))
-    left, right = F.coalesce(number.cx, F.lit(0)), F.coalesce(revision.cx, width)
+    def parts(x: Column) -> Column:
+        def inside(d: Column) -> Column:
+            other = lambda a: F.coalesce(~A.same(d, a), F.lit(True))
+            zone = (F.abs(d.cy - x.date.cy) < pixels(2.0, height)) & (d.cx > F.coalesce(x.number.cx, F.lit(0))) & (d.cx < F.coalesce(x.revision.cx, width))
+            return T.matches(d.text, r"\d") & zone & other(x.number) & other(x.date) & other(x.revision)
 
-    def inside(d: Column) -> Column:
-        other = lambda a: F.coalesce(~A.same(d, a), F.lit(True))
-        return T.matches(d.text, r"\d") & (F.abs(d.cy - date.cy) < pixels(2.0, height)) & (d.cx > left) & (d.cx < right) & other(number) & other(date) & other(revision)
+        return F.when(x.date.isNotNull(), A.by_distance(F.filter(header, inside), lambda d: d.cx))
 
-    parts = F.when(date.isNotNull(), F.filter(header, inside))
-    ordered = A.by_distance(parts, lambda d: d.cx)
-    numbers = F.flatten(F.transform(ordered, lambda d: T.integers(d.text)))
-    return A.field(T.date_of_parts(numbers), _mean(parts), "header")
+    at = F.struct(A.anchor(header, "Номер").alias("number"), A.anchor(header, "Дата").alias("date"), A.anchor(header, "Рев").alias("revision"))
+    numbers = lambda p: F.flatten(F.transform(p, lambda d: T.integers(d.text)))
+    return T.let(T.let(at, parts), lambda p: T.let(T.date_of_parts(numbers(p)), lambda v: A.field(v, _mean(p), "header")))
 
 
 def template_revision(header: Column, width: Column, height: Column) -> Column:
@@ -47,21 +48,17 @@ def template_revision(header: Column, width: Column, height: Column) -> Column:
     pattern = r"([A-ZА-Я])\s*(\d+)"
     under = A.below(header, A.anchor(header, "Рев"), height, pixels(2.9, height), pixels(2.0, width))
     found = A.first(F.filter(under, lambda d: T.matches(d.text, pattern)))
-    return A.field(F.concat(T.group(T.strip(found.text), pattern, 1), T.group(T.strip(found.text), pattern, 2)), found.confidence, "header")
+    return T.let(found, lambda d: A.field(F.concat(T.group(T.strip(d.text), pattern, 1), T.group(T.strip(d.text), pattern, 2)), d.confidence, "header"))
 
 
 def quantity(header: Column, width: Column, height: Column, status: str) -> Column:
     """The nearest whole number to the right of a status word, in the column of ``КОЛ-ВО`` where there is one."""
-    column = A.anchor(header, "КОЛ-ВО")
-    aligned = lambda d: column.isNull() | (F.abs(d.cx - column.cx) < pixels(4.0, width))
-    found = F.flatten(
-        F.transform(
-            A.anchors(header, [status]),
-            lambda at: F.filter(A.right_of(header, at, pixels(12.0, width), pixels(1.5, height)), lambda d: T.matches(T.strip(d.text), r"^\d+$") & F.coalesce(aligned(d), F.lit(True))),
-        )
-    )
-    best = A.first(found)
-    return A.field(T.strip(best.text), best.confidence, "header")
+    def best(column: Column) -> Column:
+        aligned = lambda d: F.coalesce(column.isNull() | (F.abs(d.cx - column.cx) < pixels(4.0, width)), F.lit(True))
+        right = lambda at: A.right_of(header, at, pixels(12.0, width), pixels(1.5, height))
+        return A.first(F.flatten(F.transform(A.anchors(header, [status]), lambda at: F.filter(right(at), lambda d: T.matches(T.strip(d.text), r"^\d+$") & aligned(d)))))
+
+    return T.let(T.let(A.anchor(header, "КОЛ-ВО"), best), lambda d: A.field(T.strip(d.text), d.confidence, "header"))
 
 
 def _control(d: Column) -> Column:
@@ -80,19 +77,20 @@ def control_type(header: Column) -> Column:
         return F.concat(marked, own)
 
     found = A.first(F.flatten(F.transform(header, candidates)))
-    return A.field(F.when(found.isNotNull(), _control(found)), found.confidence, "header")
+    return T.let(found, lambda d: A.field(F.when(d.isNotNull(), _control(d)), d.confidence, "header"))
 
 
 def inspector(header: Column, width: Column, height: Column) -> Column:
     """The best name below or to the right of the inspector's label; capitals weigh 1.1, so a confidence may exceed 1."""
-    near = F.flatten(F.transform(A.anchors(header, INSPECTOR_WORDS), lambda at: A.below_or_right(header, at, width, height)))
+    around = F.flatten(F.transform(A.anchors(header, INSPECTOR_WORDS), lambda at: A.below_or_right(header, at, width, height)))
     scored = lambda array, weight: F.transform(array, lambda d, n: F.struct((-(d.confidence * weight(d))).alias("least"), n.alias("n"), T.strip(d.text).alias("text")))
-    names = F.filter(near, lambda d: (d.confidence >= 0.4) & T.looks_like_name(T.strip(d.text)))
-    letters = F.filter(near, lambda d: (d.confidence >= 0.3) & (F.char_length(T.strip(d.text)) >= 2) & F.exists(T.words(d.text), lambda w: w.rlike(r"^\p{L}+$")))
-    strong = scored(names, lambda d: F.when(T.capitalised(d.text), 1.1).otherwise(1.0))
-    weak = scored(letters, lambda d: F.lit(0.9))
-    best = F.coalesce(F.array_min(strong), F.array_min(weak))
-    return A.field(best.text, -best.least, "header")
+    def best(near: Column) -> Column:
+        names = F.filter(near, lambda d: (d.confidence >= 0.4) & T.looks_like_name(T.strip(d.text)))
+        letters = F.filter(near, lambda d: (d.confidence >= 0.3) & (F.char_length(T.strip(d.text)) >= 2) & F.exists(T.words(d.text), lambda w: w.rlike(r"^\p{L}+$")))
+        strong = F.array_min(scored(names, lambda d: F.when(T.capitalised(d.text), 1.1).otherwise(1.0)))
+        return F.coalesce(strong, F.array_min(scored(letters, lambda d: F.lit(0.9))))
+
+    return T.let(T.let(around, best), lambda b: A.field(b.text, -b.least, "header"))
 
 
 def part_line(header: Column) -> Column:
@@ -100,7 +98,7 @@ def part_line(header: Column) -> Column:
     def value(at: Column) -> Column:
         beside = A.first(F.filter(A.near(header, at, 20, 200, 30), lambda d: T.matches(T.strip(d.text), r"^\d+$")))
         own = A.field(T.first_integer(at.text), at.confidence, "header")
-        return F.coalesce(own, A.field(T.strip(beside.text), beside.confidence, "header"))
+        return F.coalesce(own, T.let(beside, lambda d: A.field(T.strip(d.text), d.confidence, "header")))
 
     return A.first(F.filter(F.transform(A.anchors(header, ["строка"]), value), lambda f: f.isNotNull()))
 
@@ -109,31 +107,32 @@ def labelled(header: Column, words: list[str], longer_than: int) -> Column:
     """The first text right of a label, if it is longer than a number of characters; else that of the next label."""
     def value(at: Column) -> Column:
         found = A.first(A.near(header, at, 20, 400, 30))
-        return F.when(F.char_length(T.strip(found.text)) > longer_than, A.field(T.strip(found.text), found.confidence, "header"))
+        return T.let(found, lambda d: F.when(F.char_length(T.strip(d.text)) > longer_than, A.field(T.strip(d.text), d.confidence, "header")))
 
     return A.first(F.filter(F.transform(A.anchors(header, words), value), lambda f: f.isNotNull()))
 
 
 def sticker(header: Column, width: Column, height: Column) -> Column:
     """The sticker's fields, from a tight group of two of its words or more; null without a part line. The last match of a field wins."""
-    group = A.anchors(header, STICKER_WORDS)
-    extent = lambda k: F.array_max(F.transform(group, lambda d: d[k])) - F.array_min(F.transform(group, lambda d: d[k]))
-    tight = (F.size(group) >= 2) & (extent("cx") <= pixels(16.0, width)) & (extent("cy") <= pixels(8.5, height))
-
-    def last(words: list[str], value) -> Column:
-        made = F.transform(A.anchors(group, words), lambda d: A.field(value(d.text), d.confidence, "sticker"))
-        return F.try_element_at(F.filter(made, lambda f: f.isNotNull()), F.lit(-1))
-
-    day = r"(\d{1,2})[.\s](\d{1,2})[.\s](\d{4})"
-    line = last(["строка"], lambda t: T.group(F.lower(t), r"строка[:\s]*(\d+)"))
-    fields = F.struct(
-        line.alias("part_line_number"),
-        last(["кол-во", "количество"], T.first_integer).alias("quantity_ordered"),
-        last(["заказа"], T.first_integer).alias("order_number"),
-        last(["дата"], lambda t: F.when(T.matches(t, day), F.concat_ws(".", T.group(t, day, 1), T.group(t, day, 2), T.group(t, day, 3)))).alias("order_date"),
-        last(["клиент"], lambda t: T.strip(T.group(F.lower(t), r"клиент[:\s]+(.+)"))).alias("client"),
-    )
-    return F.when(tight & line.isNotNull(), fields)
+    def fields(group: Column) -> Column:
+        extent = lambda k: F.array_max(F.transform(group, lambda d: d[k])) - F.array_min(F.transform(group, lambda d: d[k]))
+        tight = (F.size(group) >= 2) & (extent("cx") <= pixels(16.0, width)) & (extent("cy") <= pixels(8.5, height))
+
+        def last(words: list[str], value) -> Column:
+            made = F.transform(A.anchors(group, words), lambda d: A.field(value(d.text), d.confidence, "sticker"))
+            return F.try_element_at(F.filter(made, lambda f: f.isNotNull()), F.lit(-1))
+
+        day = r"(\d{1,2})[.\s](\d{1,2})[.\s](\d{4})"
+        made = F.struct(
+            last(["строка"], lambda t: T.group(F.lower(t), r"строка[:\s]*(\d+)")).alias("part_line_number"),
+            last(["кол-во", "количество"], T.first_integer).alias("quantity_ordered"),
+            last(["заказа"], T.first_integer).alias("order_number"),
+            last(["дата"], lambda t: F.when(T.matches(t, day), F.concat_ws(".", *(T.group(t, day, i) for i in (1, 2, 3))))).alias("order_date"),
+            last(["клиент"], lambda t: T.strip(T.group(F.lower(t), r"клиент[:\s]+(.+)"))).alias("client"),
+        )
+        return T.let(made, lambda m: F.when(tight & m.part_line_number.isNotNull(), m))
+
+    return T.let(A.anchors(header, STICKER_WORDS), fields)
 
 
 def _corner(header: Column, width: Column, height: Column) -> Column:
@@ -142,25 +141,28 @@ def _corner(header: Column, width: Column, height: Column) -> Column:
 
 
 def _cells_below(header: Column, width: Column, height: Column, keyword: str) -> Column:
-    corner = _corner(header, width, height)
-    under = A.below(corner, A.anchor(corner, keyword), height, pixels(2.9, height), pixels(2.0, width))
-    return F.filter(under, lambda d: (d.confidence >= 0.4) & T.matches(d.text, r"\d"))
+    under = lambda corner: A.below(corner, A.anchor(corner, keyword), height, pixels(2.9, height), pixels(2.0, width))
+    return F.filter(T.let(_corner(header, width, height), under), lambda d: (d.confidence >= 0.4) & T.matches(d.text, r"\d"))
 
 
 def form_number(header: Column, width: Column, height: Column, slashes: bool = True, digits: bool = True) -> Column:
     """The number below ``номер`` in the corner, joined of its cells and repaired, as ddd/dd."""
-    cells = _cells_below(header, width, height, "номер")
-    line = F.filter(cells, lambda d: F.abs(d.cy - A.first(cells).cy) <= pixels(5.0, height))
-    joined = T.insert_slash(F.array_join(F.transform(line, lambda d: T.strip(d.text)), ""))
-    made = T.blank_number(joined, slashes, digits)
-    return F.when(F.size(line) > 0, A.field(made.value, _mean(line), "header", made.corrected))
+    line = lambda cells: F.filter(cells, lambda d: F.abs(d.cy - A.first(cells).cy) <= pixels(5.0, height))
+
+    def made(own: Column) -> Column:
+        joined = F.array_join(F.transform(own, lambda d: T.strip(d.text)), "")
+        number = T.let(T.let(joined, T.insert_slash), lambda t: T.blank_number(t, slashes, digits))
+        return F.when(F.size(own) > 0, T.let(number, lambda n: A.field(n.value, _mean(own), "header", n.corrected)))
+
+    return T.let(T.let(_cells_below(header, width, height, "номер"), line), made)
 
 
 def form_date(header: Column, width: Column, height: Column, slashes: bool = True, digits: bool = True) -> Column:
     """The date below ``дата`` in the corner, from left to right. corrected only tells that repairs are on."""
     ordered = A.by_distance(_cells_below(header, width, height, "дата"), lambda d: d.cx)
     numbers = F.flatten(F.transform(ordered, lambda d: F.transform(T.integers(d.text), lambda n: F.struct(n.alias("n"), d.confidence.alias("confidence")))))
-    return A.field(T.date_of_cells(F.transform(numbers, lambda x: x.n)), _mean(numbers), "header", F.lit(slashes or digits))
+    dated = lambda ns: T.let(T.date_of_cells(F.transform(ns, lambda x: x.n)), lambda v: A.field(v, _mean(ns), "header", F.lit(slashes or digits)))
+    return T.let(numbers, dated)
 
 
 def extract_header(pages: DataFrame, specialised: bool = True, slashes: bool = True, digits: bool = True) -> DataFrame:
