@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formloom.functions.geometry import pixels
+from formloom.functions.text import let
 
 
 def block_ids(detections: DataFrame, gap_percent: float = 12.0) -> DataFrame:
@@ -22,27 +23,22 @@ def block_ids(detections: DataFrame, gap_percent: float = 12.0) -> DataFrame:
 
 def blocks(array: Column, gap: Column) -> Column:
     """The same on an array of detections: an array of blocks, each in the order of x."""
-    ordered = F.transform(F.array_sort(F.transform(array, lambda d: F.struct(d.cx.alias("cx"), d.i.alias("i"), d.alias("d")))), lambda x: x.d)
-    starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda k: (k == 0) | (ordered[k].cx - F.get(ordered, k - 1).cx > gap))
-    return F.when(F.size(array) > 0, _parts(ordered, starts)).otherwise(F.array(F.array().cast(array_type())).cast(f"array<{array_type()}>"))
+    def split(ordered: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda k: (k == 0) | (ordered[k].cx - F.get(ordered, k - 1).cx > gap))
+        return _parts(ordered, F.when(F.size(ordered) > 0, starts).otherwise(F.array().cast("array<int>")))
 
-
-def array_type() -> str:
-    from formloom.operators.anchors import DETECTION
-
-    return f"array<{DETECTION}>"
+    keyed = F.transform(array, lambda d: F.struct(d.cx.alias("cx"), d.i.alias("i"), d.alias("d")))
+    return let(F.transform(F.array_sort(keyed), lambda x: x.d), split)
 
 
 def _parts(ordered: Column, starts: Column) -> Column:
-    until = lambda n: F.coalesce(F.get(starts, n + 1), F.size(ordered))
-    return F.transform(starts, lambda s, n: F.slice(ordered, s + 1, until(n) - s))
+    """ordered, cut before each of the places in starts."""
+    until = lambda s, n: F.coalesce(F.get(s, n + 1), F.size(ordered))
+    return let(starts, lambda s: F.transform(s, lambda at, n: F.slice(ordered, at + 1, until(s, n) - at)))
 
 
 def rows(array: Column, tolerance: Column) -> Column:
     """Rows of detections: sorted by y, then x; a row takes what lies within the tolerance of its first member."""
-    ordered = F.transform(
-        F.array_sort(F.transform(array, lambda d: F.struct(d.cy.alias("cy"), d.cx.alias("cx"), d.i.alias("i"), d.alias("d")))), lambda x: x.d
-    )
     begin = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("int").alias("y"), F.lit(0).cast("int").alias("k"))
 
     def step(acc: Column, d: Column) -> Column:
@@ -51,8 +47,8 @@ def rows(array: Column, tolerance: Column) -> Column:
             F.when(new, F.concat(acc.starts, F.array(acc.k))).otherwise(acc.starts).alias("starts"), F.when(new, d.cy).otherwise(acc.y).alias("y"), (acc.k + 1).alias("k")
         )
 
-    starts = F.aggregate(ordered, begin, step, lambda acc: acc.starts)
-    return _parts(ordered, starts)
+    keyed = F.transform(array, lambda d: F.struct(d.cy.alias("cy"), d.cx.alias("cx"), d.i.alias("i"), d.alias("d")))
+    return let(F.transform(F.array_sort(keyed), lambda x: x.d), lambda ordered: _parts(ordered, F.aggregate(ordered, begin, step, lambda acc: acc.starts)))
 
 
 def merge_positions(positions: Column, tolerance: Column) -> Column:

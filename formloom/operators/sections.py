@@ -61,7 +61,6 @@ def defect_blocks(pages: DataFrame) -> DataFrame:
     split = pages.withColumn("blocks", L.blocks(F.col("defects"), pixels(12.0, F.col("width"))))
     one = split.select("doc_id", "height", F.posexplode("blocks").alias("block", "members"))
     edge = F.array_min(F.transform("members", lambda d: d.cy)) + 50
-    by_y = A.by_distance(F.col("members"), lambda d: d.cy)
     # members come in the order of x; a stable sort by y keeps that order among equals
     order = F.transform("members", lambda d, n: F.struct(d.cy.alias("cy"), n.alias("n"), d.alias("d")))
     by_y = F.transform(F.array_sort(order), lambda x: x.d)

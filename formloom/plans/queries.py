@@ -132,8 +132,8 @@ def confidence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _DET
-    + """ SELECT doc_id, count(*) AS total_fields, count_if(text <> '') AS validated_fields, 0 AS failed_validations,
-count_if(text <> '') / CAST(count(*) AS DOUBLE) AS validation_rate, count_if(text <> '' AND confidence < 0.5) AS warnings FROM det GROUP BY doc_id"""
+    + """ SELECT doc_id, count(*) AS total_fields, CAST(count_if(text <> '') AS BIGINT) AS validated_fields, CAST(0 AS BIGINT) AS failed_validations,
+count_if(text <> '') / CAST(count(*) AS DOUBLE) AS validation_rate, CAST(count_if(text <> '' AND confidence < 0.5) AS BIGINT) AS warnings FROM det GROUP BY doc_id"""
 )
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validation_summary(quality.validated(detections(spark, sf_dir))).drop("errors")
@@ -141,7 +141,7 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _DET
-    + """ SELECT doc_id, region_id, count(*) AS texts, round(avg(confidence), 9) AS average_confidence, count_if(confidence < 0.5 * 1.2) AS low_confidence
+    + """ SELECT doc_id, region_id, count(*) AS texts, round(avg(confidence), 9) AS average_confidence, CAST(count_if(confidence < 0.5 * 1.2) AS BIGINT) AS low_confidence
 FROM det WHERE confidence >= 0.5 GROUP BY doc_id, region_id"""
 )
 def region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ def _listed(spark: SparkSession, sf_dir: str, make: Callable[[Column, Column, Co
     return found.select("doc_id", (F.col("place") + 1).alias("place"), F.col("d.i").alias("det_idx"), "d.text")
 
 
-@query(f"{_H}, {_anchor('a', 'h', 'номер')}, {_below('b', 'h', 'a')} SELECT doc_id, place, det_idx, text FROM b")
+@query(f"{_H}, {_anchor('a', 'h', 'номер')}, {_below('b', 'h', 'a')} SELECT doc_id, CAST(place AS INT) AS place, det_idx, text FROM b")
 def anchor_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _listed(spark, sf_dir, lambda h, w, t: A.below(h, A.anchor(h, "Номер"), t, G.pixels(2.9, t), G.pixels(2.0, w)))
 
@@ -255,7 +255,7 @@ def anchor_below(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""{_H}, pairs AS (SELECT d.doc_id, d.det_idx, d.text, d.x0 - a.x1 AS gap, a.det_idx AS spot FROM h d JOIN h a ON d.doc_id = a.doc_id AND contains(lower(a.text), 'проверено')
   AND d.x0 - a.x1 > 0 AND d.x0 - a.x1 <= 297 AND abs(d.cy - a.cy) <= 52 AND NOT ({_SAME("d", "a")}))
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY gap, spot, det_idx) AS place, det_idx, text FROM pairs"""
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY gap, spot, det_idx) AS INT) AS place, det_idx, text FROM pairs"""
 )
 def anchor_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _listed(spark, sf_dir, lambda h, w, t: A.right_of_any(h, "ПРОВЕРЕНО", G.pixels(12.0, w), G.pixels(1.5, t)))
@@ -263,7 +263,7 @@ def anchor_right(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{_H}, {_anchor('a', 'h', 'наименование')}
-SELECT d.doc_id, row_number() OVER (PARTITION BY d.doc_id ORDER BY d.det_idx) AS place, d.det_idx, d.text FROM h d JOIN a ON d.doc_id = a.doc_id
+SELECT d.doc_id, CAST(row_number() OVER (PARTITION BY d.doc_id ORDER BY d.det_idx) AS INT) AS place, d.det_idx, d.text FROM h d JOIN a ON d.doc_id = a.doc_id
 AND abs(d.cy - a.cy) < 30 AND d.cx > a.cx + 20 AND d.cx < a.cx + 400"""
 )
 def anchor_near(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +275,7 @@ _BESIDE = "(d.cy > a.cy + 21 AND d.cy < a.cy + 150 AND (abs(d.cx - a.cx) < 198 O
 
 @query(
     f"""{_H}, {_anchor('a', 'h', 'контролер')}
-SELECT d.doc_id, row_number() OVER (PARTITION BY d.doc_id ORDER BY d.det_idx) AS place, d.det_idx, d.text FROM h d JOIN a ON d.doc_id = a.doc_id AND {_BESIDE}"""
+SELECT d.doc_id, CAST(row_number() OVER (PARTITION BY d.doc_id ORDER BY d.det_idx) AS INT) AS place, d.det_idx, d.text FROM h d JOIN a ON d.doc_id = a.doc_id AND {_BESIDE}"""
 )
 def anchor_below_or_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _listed(spark, sf_dir, lambda h, w, t: F.when(A.anchor(h, "контролер").isNotNull(), A.below_or_right(h, A.anchor(h, "контролер"), w, t)))
