@@ -12,6 +12,7 @@ for it. The sample is bounded by ``max_docs``; the rest is untouched by the inpu
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ _TRIM = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 _GRAMS = (3, 5)
 _SLICE_WORDS = 300_000
 _LANES = 1024
+_WORDS_AT_ONCE = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,23 @@ class Words:
         first = np.cumsum(sizes) - sizes
         return np.repeat(self.first[own] - first, sizes) + np.arange(sizes.sum()), sizes, first
 
+    def only(self, begin: np.ndarray, length: np.ndarray) -> tuple["Index", np.ndarray]:
+        """The words of some windows, numbered anew, and which they are."""
+        hit = np.zeros(len(self.index) + 1, np.int32)
+        np.add.at(hit, begin, 1)
+        np.add.at(hit, begin + length, -1)
+        inside = np.cumsum(hit[:-1]) > 0
+        seen = np.zeros(len(self.rows), bool)
+        seen[self.index[inside]] = True
+        number = np.cumsum(seen) - 1
+        return Index(number.astype(np.int32)[self.index], int(seen.sum())), np.flatnonzero(seen)
+
+
+@dataclass
+class Index:
+    words: np.ndarray  # word number of each position
+    size: int
+
 
 def split_words(texts: list[str | None], shape: Shape) -> Words:
     lists = pc.utf8_split_whitespace(pc.utf8_lower(pa.array([t or "" for t in texts], pa.large_string())))
@@ -92,12 +111,12 @@ def split_words(texts: list[str | None], shape: Shape) -> Words:
         h = np.full(len(begin), g, np.uint64)
         for k in range(g):
             h = h * np.uint64(0x100000001B3) + data[np.minimum(begin + k, len(data) - 1)]
-        at.append(_mix(h) % np.uint64(shape.gram_rows))
-        owner.append(whose[begin])
+        at.append((_mix(h) % np.uint64(shape.gram_rows)).astype(np.int32))
+        owner.append(whose[begin].astype(np.int32))
     owner, at = np.concatenate(owner), np.concatenate(at)
     order = np.argsort(owner, kind="stable")
     per_word = np.bincount(owner, minlength=n)
-    return Words(index, counts, rows.astype(np.int64), at[order].astype(np.int64), np.cumsum(per_word) - per_word, per_word)
+    return Words(index, counts, rows.astype(np.int32), at[order], np.cumsum(per_word) - per_word, per_word)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -136,15 +155,14 @@ class Network:
 
     # forward
 
-    def inputs(self, w: Words, own: np.ndarray | None = None) -> np.ndarray:
-        """Word and n-gram embeddings of the distinct words; of those in own, the rest being zero."""
-        if own is None:
-            grams = np.add.reduceat(self.p["gram"][w.grams], w.first, axis=0) / w.per_word[:, None]
-            return np.concatenate([self.p["word"][w.rows], grams], axis=1).astype(np.float32)
-        spots, sizes, first = w.spots(own)
-        x = np.zeros((len(w.rows), 2 * self.shape.width), np.float32)
-        grams = np.add.reduceat(self.p["gram"][w.grams[spots]], first, axis=0) / sizes[:, None]
-        x[own] = np.concatenate([self.p["word"][w.rows[own]], grams], axis=1)
+    def inputs(self, w: Words, own: np.ndarray) -> np.ndarray:
+        """Word and n-gram embeddings of the distinct words in own."""
+        x = np.empty((len(own), 2 * self.shape.width), np.float32)
+        for at in range(0, len(own), _WORDS_AT_ONCE):
+            part = own[at : at + _WORDS_AT_ONCE]
+            spots, sizes, first = w.spots(part)
+            x[at : at + len(part), : self.shape.width] = self.p["word"][w.rows[part]]
+            x[at : at + len(part), self.shape.width :] = np.add.reduceat(self.p["gram"][w.grams[spots]], first, axis=0) / sizes[:, None]
         return x
 
     def project(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,19 +214,23 @@ class Network:
             cache.update(kf=kf, kb=kb, states=states, pre=pre, act=act, att=att, pooled=pooled, ids=ids, mask=mask)
         return pooled @ self.p["wo"] + self.p["bo"][0]
 
-    def lanes(self, w: Words, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def lanes(self, index: "Index", begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers, the one past the last where a window has ended, and the mask: (steps, lanes)."""
         steps = np.arange(int(length.max()))[:, None]
         mask = steps < length
-        at = np.minimum(begin + steps, len(w.index) - 1)
-        return np.where(mask, w.index[at], len(w.rows)), mask.astype(np.float32)
+        at = np.minimum(begin + steps, len(index.words) - 1)
+        return np.where(mask, index.words[at], index.size), mask.astype(np.float32)
 
     def window_logits(self, w: Words, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        projected = self.project(self.inputs(w))
         out = np.empty(len(begin), np.float32)
         order = np.argsort(-length, kind="stable")
-        for at in range(0, len(order), _LANES):
-            own = order[at : at + _LANES]
-            out[own] = self.forward(projected, *self.lanes(w, begin[own], length[own]))
+        for at in range(0, len(order), _LANES * 8):
+            group = order[at : at + _LANES * 8]
+            sub, used = w.only(begin[group], length[group])
+            projected = self.project(self.inputs(w, used))
+            for k in range(0, len(group), _LANES):
+                own = group[k : k + _LANES]
+                out[own] = self.forward(projected, *self.lanes(sub, begin[own], length[own]))
         return out
 
     # backward
@@ -234,7 +256,8 @@ class Network:
         grads["u" + u_name] = d_u
         return d_proj
 
-    def backward(self, w: Words, x: np.ndarray, cache: dict, d_logit: np.ndarray) -> dict:
+    def backward(self, w: Words, used: np.ndarray, x: np.ndarray, cache: dict, d_logit: np.ndarray) -> dict:
+        """Gradients; used: the words that the cache's numbers and the rows of x stand for."""
         p, n, g = self.p, self.shape.hidden, {}
         states, att = cache["states"], cache["att"]
         g["wo"], g["bo"] = cache["pooled"].T @ d_logit, d_logit.sum(keepdims=True)
@@ -249,7 +272,7 @@ class Network:
         ids = cache["ids"].ravel()
         order = np.argsort(ids, kind="stable")
         kinds, first = np.unique(ids[order], return_index=True)
-        real = kinds < len(w.rows)
+        real = kinds < len(used)
         d_x = np.zeros_like(x)
         for k, part in (("f", d_states[:, :, :n]), ("b", d_states[:, :, n:])):
             d = self._run_back(part, cache["k" + k], k, cache["mask"], g).reshape(-1, 3 * n)
@@ -258,10 +281,9 @@ class Network:
             g["w" + k], g["b" + k] = x[own].T @ by_word, by_word.sum(axis=0)
             d_x[own] += by_word @ p["w" + k].T
         width = self.shape.width
-        own = kinds[real]
-        g["word"] = (w.rows[own], d_x[own, :width])
-        spots, sizes, _ = w.spots(own)
-        g["gram"] = (w.grams[spots], np.repeat(d_x[own, width:] / sizes[:, None], sizes, axis=0))
+        g["word"] = (w.rows[used], d_x[:, :width])
+        spots, sizes, _ = w.spots(used)
+        g["gram"] = (w.grams[spots], np.repeat(d_x[:, width:] / sizes[:, None], sizes, axis=0))
         return g
 
     # whole texts
@@ -331,13 +353,13 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), epochs: i
         pace = rate * (1 if epoch < epochs * 2 // 3 else 0.3)
         for at in range(0, len(chosen), size):
             own = chosen[at : at + size]
-            ids, mask = net.lanes(w, begin[own], length[own])
-            used = np.unique(ids)
-            x, cache = net.inputs(w, used[used < len(w.rows)]), {}
-            logits = net.forward(_project_used(net, x, used), ids, mask, cache)
+            sub, used = w.only(begin[own], length[own])
+            ids, mask = net.lanes(sub, begin[own], length[own])
+            x, cache = net.inputs(w, used), {}
+            logits = net.forward(net.project(x), ids, mask, cache)
             y = y_doc[text[own]]
             d = (1 / (1 + np.exp(-logits)) - y) * np.where(y > 0, weight, 1) / len(own)
-            grads = net.backward(w, x, cache, d.astype(np.float32))
+            grads = net.backward(w, used, x, cache, d.astype(np.float32))
             steps += 1
             for k, (m, v) in moments.items():
                 g = np.clip(grads[k], -1, 1)
@@ -375,20 +397,10 @@ def _log_odds(net: Network, w: Words, y: np.ndarray) -> np.ndarray:
     for k, (clean, toxic) in seen.items():
         odds = np.log((toxic + smooth) / totals[1]) - np.log((clean + smooth) / totals[0])
         net.p[k][:, 0] = np.where(toxic + clean > 0, np.clip(odds - neutral * smooth / (toxic + clean + smooth), -2, 4), 0)
-    x = net.inputs(w)
+    x = net.inputs(w, np.arange(len(w.rows)))
     return x[:, 0] + x[:, net.shape.width]
 
 
-def _project_used(net: Network, x: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    used = used[used < len(x)]
-    out = []
-    for k in "fb":
-        full = np.zeros((len(x) + 1, 3 * net.shape.hidden), np.float32)
-        full[used] = x[used] @ net.p["w" + k] + net.p["b" + k]
-        out.append(full)
-    return tuple(out)
-
-
 def _calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Scale and shift that put the cut with the fewest mistakes at a score of 0.3."""
     ok = np.isfinite(logits)
@@ -404,26 +416,40 @@ def _calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return 1.0, float(np.log(0.3 / 0.7) - cut)
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_docs: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most max_docs documents, three tenths of them toxic where there are as many.
+def sample(docs: DataFrame, labels: DataFrame, max_docs: int) -> DataFrame | None:
+    """(doc_id, text, toxic) of at most max_docs documents, three tenths of them toxic where there are as many.
 
     Labels of the held-out fold, null labels and null ids are left out; the smallest hashes of the ids win.
+    None where no label is left.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
     ids = []
     for label in (0, 1):
         ids += known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs * (3 if label else 7) // 10).collect()
     if not ids:
-        return [], []
-    small = docs.sparkSession.createDataFrame(ids, known.schema).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(small), "doc_id").where("text is not null").limit(2 * max_docs).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return [r.text for r in rows], [int(r.toxic) for r in rows]
+        return None
+    small = docs.sparkSession.createDataFrame(ids, known.schema).dropDuplicates(["doc_id"])  # max_docs ids at most
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(small), "doc_id").where("text is not null").limit(2 * max_docs)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, **options) -> Network:
-    """docs(doc_id, text), labels(doc_id, toxic) -> a network trained on a bounded sample."""
-    return train(*sample(docs, labels, max_docs), **options)
+    """docs(doc_id, text), labels(doc_id, toxic) -> a network trained on a bounded sample.
+
+    The training is one task on an executor, which is run again if that is lost; the driver gets the
+    trained network only.
+    """
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
+        net = train([t for _, t, _ in rows], [int(y) for _, _, y in rows], **options)
+        parts = pickle.dumps(net)
+        yield pa.RecordBatch.from_arrays([pa.array([parts], pa.binary())], ["net"])
+
+    chosen = sample(docs, labels, max_docs)
+    if chosen is None:
+        return train([], [], **options)
+    return pickle.loads(chosen.repartition(1).mapInArrow(learn, "net binary").first()[0])
 
 
 def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
