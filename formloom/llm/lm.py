@@ -16,7 +16,6 @@ document the n-grams are shorter, and nothing is paid for that. N: words of all
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut, word_count
+from formloom.llm.common import cut, forget_shuffles, word_count
 
 _U = np.uint64
 _GRAMS = "chunk bigint, n int, bucket int, size bigint, mark bigint, hashes binary, counts binary"
@@ -223,8 +222,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
     entries = plain.mapInArrow(explode, _GRAMS)
     counts = cut(entries.groupBy("bucket").applyInArrow(count, _COUNTS), "counts")
     del entries
-    gc.collect()
-    spark._jvm.System.gc()  # the first shuffle is read for good: its files may go before the second begins
+    forget_shuffles(spark)  # the first is read for good, and the second carries the texts
     placed = plain.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
     return placed.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
         score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint"
