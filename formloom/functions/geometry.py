@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: An A4 page at 300 dpi, for documents that don't give their size.
 PAGE_WIDTH, PAGE_HEIGHT = 2480, 3508
@@ -54,7 +55,7 @@ def cell_box(x0: Column, y0: Column, x1: Column, y1: Column, dy: Column) -> Colu
     return F.struct(F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)).alias("polygon"), middle.alias("center"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def round3_exact(values: pd.Series) -> pd.Series:
     """Three decimals of the exact binary value, ties to even; Spark's round works on the decimal form."""
     return values.map(lambda v: round(v, 3), na_action="ignore").astype("float64")
