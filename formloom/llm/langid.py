@@ -63,7 +63,7 @@ class Languages:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score). The score is the share of the runner-up's size that the winner saves."""
         clean = normalise(text).encode("utf-8", "replace") if text else b""
-        if not clean or not self.content:
+        if not self.content or not any(map(str.isalpha, text or "")):
             return UNDETERMINED, 0.0
         sizes = sorted(self.sizes(clean), key=lambda x: x[1])
         if len(sizes) == 1:
@@ -87,12 +87,12 @@ def fit(docs: DataFrame, docs_per_lang: int = 400, piece_chars: int = 2000, dict
     language, and then every text is undetermined.
     """
     known = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (
-        known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang).select("doc_id", "lang")
-    )  # ranks are cut before the shuffle, so that a frequent language costs no more than a rare one
-    ids = [r for r in picked.collect()]
-    wanted = docs.sparkSession.createDataFrame(ids, picked.schema).distinct()
+    h = F.xxhash64("doc_id")
+    best = lambda keys: F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
+    # in two steps, so that a frequent language is ranked by many tasks before one gets what is left
+    some = known.select("doc_id", "lang", h.alias("h"), F.pmod(h, F.lit(256)).alias("salt")).withColumn("rank", best(["lang", "salt"])).where(F.col("rank") <= docs_per_lang)
+    picked = some.withColumn("rank", best(["lang"])).where(F.col("rank") <= docs_per_lang).select("doc_id", "lang")
+    wanted = docs.sparkSession.createDataFrame(picked.collect(), picked.schema).distinct()
     rows = (
         known.join(F.broadcast(wanted), ["doc_id", "lang"])
         .select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, piece_chars).alias("piece"))
