@@ -23,12 +23,11 @@ def detection() -> Column:
 
 
 def pages(detections: DataFrame) -> DataFrame:
-    """One row for each document: width, height, and arrays header, defects, analysis and all, in the order of det_idx."""
+    """One row for each document: width, height, and arrays header, defects and analysis, in the order of det_idx."""
     of = lambda region: F.array_sort(F.collect_list(F.when(F.col("region_id") == region, detection()))).alias(region)
     return detections.groupBy("doc_id").agg(
-        F.max("width").alias("width"), F.max("height").alias("height"), of("header"), of("defects"), of("analysis"),
-        F.array_sort(F.collect_list(detection())).alias("all"),
-    )
+        F.max("width").alias("width"), F.max("height").alias("height"), of("header"), of("defects"), of("analysis")
+    )
 
 
 def first(array: Column) -> Column:

@@ -69,7 +69,7 @@ def defect_blocks(pages: DataFrame) -> DataFrame:
         "lines", L.rows(F.filter("by_y", lambda d: d.cy >= F.col("edge")), pixels(0.6, F.col("height")))
     )
     kinds = titled.where(F.size("lines") > 0).withColumn("kind", classify(F.col("title")))
-    data = F.transform(F.slice("lines", 2, F.size("lines")), lambda r: _defect_row(_by_x(r), F.col("kind")))
+    data = F.transform(F.slice("lines", 2, F.size("lines")), lambda r: T.let(_by_x(r), lambda own: _defect_row(own, F.col("kind"))))
     return kinds.select("doc_id", "block", "kind", "title", _texts(A.first(F.col("lines"))).alias("headers"), data.alias("rows"))
 
 

@@ -157,3 +157,16 @@ def test_templates_and_settings(spark, tmp_path):
     assert settings.load({"GAMMA_CORRECTION": "0.5", "enable_deskew": "false"}).gamma_correction == 0.5
     with pytest.raises(ValueError):
         settings.load({"illumination_kernel": "30"})
+
+
+def test_documents_are_put_together_again(spark):
+    from formloom.plans import assemble
+
+    page = [det("Homep", 10, 10), det("", 20, 20), det("100", 30, 30, 0.4), det("x", 40, 40, 0.2, "defects")]
+    checked, _ = pipeline.corrected_and_validated(frame(spark, a=page))
+    d = assemble.documents(checked).first()
+    assert [t.text for t in d.text_regions] == ["Номер", "", "100", "x"] and d.corrections_applied["count"] == 1
+    assert {k: len(v) for k, v in d.ocr_results_by_region.items()} == {"header": 3, "defects": 1}
+    v = d.validation_results
+    assert (v.total_fields, v.validated_fields, v.failed_validations, len(v.low_confidence_warnings)) == (4, 3, 0, 2)
+    assert d.processing_metrics.low_confidence_count == 2 and d.text_regions[0].bbox == [[-20, -10], [40, -10], [40, 30], [-20, 30]]

@@ -115,3 +115,23 @@ def test_images_as_rows(spark, tmp_path):
     known = P.replay({("a.PNG", "defects"): [("текст", 0.9, 10, 10, 50, 20), ("faint", 0.2, 0, 0, 1, 1)]})
     found = P.recognised(read, known, small).collect()
     assert [(f.text, f.region_id, f.y0 - min(z.y_start for z in P.zoned(read, small).collect() if z.region_id == "defects")) for f in found] == [("текст", "defects", 10)]
+
+
+def test_cells_of_a_page(spark, tmp_path):
+    page = ruled(1200, 600, (264, 720))
+    page[264:720] = 255
+    for y in (264, 400, 550, 700):
+        page[y - 1 : y + 2, 10:590] = 0
+    for x in (15, 200, 400, 585):
+        page[264:701, x - 1 : x + 2] = 0
+    page[430:520:4, 110:280] = 0
+    (tmp_path / "a.png").write_bytes(png(page))
+    s = Settings(region_detection_method="template", template_name="otk_v2")
+    read = images.images(spark, str(tmp_path))
+    cells = P.recognised_cells(read, lambda origin, place, pixels: [("x", 0.5), ("y", 0.7)], s).collect()
+    bands = {b[0]: b for b in P.zones(page, s)}
+    found = P.grid(page[bands["defects"][1] : bands["defects"][2]], s)
+    assert found is None or len(cells) == len(P.cell_boxes(found, 600, bands["defects"][2] - bands["defects"][1], s))
+    assert {c.text for c in cells} <= {"", "x y"}
+    for c in cells:
+        assert (c.text, round(c.confidence, 6)) in {("", 1.0), ("x y", 0.6)}
