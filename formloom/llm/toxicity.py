@@ -449,7 +449,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, **options) ->
     chosen = sample(docs, labels, max_docs)
     if chosen is None:
         return train([], [], **options)
-    return pickle.loads(chosen.repartition(1).mapInArrow(learn, "net binary").first()[0])
+    trained = chosen.repartition(1).mapInArrow(learn, "net binary").first()
+    return pickle.loads(trained[0]) if trained else train([], [], **options)
 
 
 def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:

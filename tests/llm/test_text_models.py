@@ -87,6 +87,8 @@ def test_toxic_word_is_found_anywhere_in_a_long_text():
 def test_toxicity_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     net = toxicity.fit(odd_rows(spark), empty)
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(20)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    assert toxicity.fit(odd_rows(spark), labels).scale == net.scale  # no labelled document: nothing to learn from
     rows = toxicity.score(odd_rows(spark), net).collect()
     assert len(rows) == 6 and all(0 <= r.score <= 1 and r.predicted == 0 for r in rows)
     assert toxicity.score(odd_rows(spark).limit(0), net).count() == 0
