@@ -16,44 +16,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut
+from formloom.llm.common import cut, drop_cut, forget_shuffles
 from formloom.llm.components import connected
 
 BITS = 64
 _HASHES_AT_ONCE = 1 << 15
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """Unsigned SimHash of one text; 0 for null and for texts without a word."""
-    if not text:
-        return 0
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
+def _spans(text: str | None, words: int) -> tuple[bytes, list[int], list[int]]:
+    """The normalised text and where its shingles begin and end; none for texts without a word."""
+    parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not parts:
-        return 0
+        return b"", [], []
     flat = b" ".join(parts)
-    digest = xxhash.xxh64_intdigest
     if len(parts) <= words:
-        hashes = [digest(flat, 42)]
-        return hashes[0]
+        return flat, [0], [len(flat)]
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    n = len(parts) - words + 1
-    first, last = starts[:n].tolist(), ends[words - 1 :].tolist()
+    return flat, starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist()
+
+
+def _majority(counts: np.ndarray, n: int) -> int:
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+
+
+def _bit_counts(hashes: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """Unsigned SimHash of one text; 0 for null and for texts without a word."""
+    flat, first, last = _spans(text, words)
+    digest = xxhash.xxh64_intdigest
     counts = np.zeros(BITS, np.int64)
-    for at in range(0, n, _HASHES_AT_ONCE):
+    for at in range(0, len(first), _HASHES_AT_ONCE):
         hashes = [digest(flat[a:b], 42) for a, b in zip(first[at : at + _HASHES_AT_ONCE], last[at : at + _HASHES_AT_ONCE])]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+        counts += _bit_counts(np.array(hashes, np.uint64))
+    return _majority(counts, len(first))
+
+
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted (uint64); none for texts without a word."""
+    flat, first, last = _spans(text, words)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(flat[a:b], 42) for a, b in zip(first, last)), np.uint64, len(first)))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets of shingles; two empty ones are the same."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    union = len(a) + len(b) - both
+    return both / union if union else 1.0
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -85,37 +107,52 @@ def links(distinct: DataFrame, radius: int = 2, blocks: int = 4, bucket_rows: in
     ]
     spread = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.*")
     sizes = spread.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    deal = F.ceil(F.col("n") / bucket_rows).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("deal")).cast("int")
+    dealt = _dealt(spread, sizes, F.ceil(F.col("n") / bucket_rows), "fp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols, firsts in _buckets(batches, 5):
+            yield _out(spanning_links(cols[4], firsts, radius))
+
+    return _sorted(dealt, "fp").mapInArrow(run, "u bigint, v bigint")
+
+
+_GROUP = ["t", "key", "p", "q"]
+
+
+def _dealt(spread: DataFrame, sizes: DataFrame, deal: Column, node: str) -> DataFrame:
+    """spread(t, key, node) in the buckets of sizes(t, key, ...) -> (t, key, p, q, node): a group for every two of deal parts."""
+    own = F.pmod(F.xxhash64(node, F.lit(7)), F.col("deal")).cast("int")
     others = F.sequence(F.lit(0), F.col("deal") - 1)
     pairs = F.transform(others, lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
     # with two parts or more, a part also meets itself within each of its groups
     one = F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q")))
-    dealt = (
+    return (
         spread.join(sizes, ["t", "key"])
-        .withColumn("deal", deal)
+        .withColumn("deal", deal.cast("int"))
         .withColumn("own", own)
-        .select("t", "key", "fp", F.explode(F.when(F.col("deal") > 1, F.filter(pairs, lambda x: x.p != x.q)).otherwise(one)).alias("g"))
-        .select("t", "key", "g.p", "g.q", "fp")
+        .select("t", "key", node, F.explode(F.when(F.col("deal") > 1, F.filter(pairs, lambda x: x.p != x.q)).otherwise(one)).alias("g"))
+        .select("t", "key", "g.p", "g.q", node)
     )
-    by = ["t", "key", "p", "q"]
-    sorted_ = dealt.repartition(*by).sortWithinPartitions(*by, "fp")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: list[np.ndarray] | None = None
-        for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            if left is not None:
-                cols = [np.concatenate(x) for x in zip(left, cols)]
-            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:4]], axis=0)) + 1
-            last = int(new[-1]) if len(new) else 0
-            if last:
-                yield _out(spanning_links(cols[4][:last], np.concatenate(([0], new[:-1])), radius))
-            left = [c[last:] for c in cols]
-        if left is not None and len(left[0]):
-            yield _out(spanning_links(left[4], np.array([0]), radius))
 
-    return sorted_.mapInArrow(run, "u bigint, v bigint")
+def _sorted(dealt: DataFrame, *then: str) -> DataFrame:
+    return dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP, *then)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Whole groups of sorted rows: the columns, and where each group begins."""
+    left: list[np.ndarray] | None = None
+    for b in batches:
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
+        if left is not None:
+            cols = [np.concatenate(x) for x in zip(left, cols)]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:4]], axis=0)) + 1
+        last = int(new[-1]) if len(new) else 0
+        if last:
+            yield [c[:last] for c in cols], np.concatenate(([0], new[:-1]))
+        left = [c[last:] for c in cols]
+    if left is not None and len(left[0]):
+        yield left, np.array([0])
 
 
 def _out(pairs: np.ndarray) -> pa.RecordBatch:
@@ -128,6 +165,11 @@ def spanning_links(values: np.ndarray, firsts: np.ndarray, radius: int) -> np.nd
     Returns links (n, 2) that connect, within each bucket, what chains of pairs within
     the radius connect.
     """
+    return values[_spanning(values, firsts, radius)]
+
+
+def _spanning(values: np.ndarray, firsts: np.ndarray, radius: int, same: Callable[[int, int], bool] | None = None) -> np.ndarray:
+    """Links as positions in values; with ``same``, pairs within the radius count only where it holds."""
     n = len(values)
     sizes = np.diff(np.append(firsts, n))
     order = np.argsort(-sizes, kind="stable")  # larger buckets first: later passes look at the front only
@@ -157,12 +199,11 @@ def spanning_links(values: np.ndarray, firsts: np.ndarray, radius: int) -> np.nd
         for i in _within(planes, d, until, radius):
             if i + d < until and bucket[i] == bucket[i + d]:
                 a, b = top(int(i)), top(int(i + d))
-                if a != b:
+                if a != b and (same is None or same(int(at[i]), int(at[i + d]))):
                     root[max(a, b)] = min(a, b)
                     open_parts[bucket[i]] -= 1
                     found.append((int(i), int(i + d)))
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return values[pairs]
+    return at[np.array(found, np.int64).reshape(-1, 2)]
 
 
 def _within(planes: np.ndarray, d: int, until: int, radius: int) -> np.ndarray:
@@ -232,15 +273,44 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: in
     return prints.join(groups, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs without near copies: of each component the row with the smallest id.
+_HEAD = 32
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs -> (doc_id, text, head, text_hash): the last two stand for the text where rows are compared."""
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", text.alias("text"), F.substring(text, 1, _HEAD).alias("head"), F.xxhash64(text).alias("text_hash"))
 
-    Rows that repeat an id count as copies; of these the first by text stays.
+
+def survivors(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """prints(doc_id, head, text_hash, node) of docs' rows, roots(node, root) -> the first row of docs of each component.
+
+    Nodes without a root are components of their own. First is the smallest id, nulls last, then the
+    text (its first characters, then its hash). Whole texts are shuffled once, and rows that repeat an
+    id and text meet before the shuffle.
     """
-    from pyspark.sql import Window
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "head", "text_hash")
+    least = prints.groupBy("node").agg(F.min(order).alias("first")).join(roots, "node", "left")
+    first = least.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.*")
+
+    def key(df: DataFrame, text_hash: Column) -> list[Column]:
+        i = df["doc_id"]
+        return [i.isNull().alias("_formloom_no_id"), F.coalesce(i.cast("string"), F.lit("")).alias("_formloom_id"), text_hash.alias("_formloom_hash")]
+
+    kept = first.select(*key(first, first["text_hash"])).distinct()
+    rows = docs.groupBy(*key(docs, F.xxhash64(docs["text"].cast("string")))).agg(F.min(F.struct(*docs.columns)).alias("_formloom_row"))
+    return rows.join(kept, kept.columns, "left_semi").select("_formloom_row.*")
+
+
+def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4, bucket_rows: int = 4096) -> DataFrame:
+    """The rows of docs without near copies: of each component of near_duplicates the first, see survivors."""
+    keyed = _keyed(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(found.view(np.int64))], ["doc_id", "head", "text_hash", "node"])
 
-    found = near_duplicates(docs, **options)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    joined = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"])).drop("kept_id")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return joined.withColumn("_formloom_rank", rank).where("_formloom_rank = 1").drop("_formloom_rank")
+    prints = cut(keyed.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, head string, text_hash bigint, node bigint"), "fingerprints")
+    distinct = cut(prints.select(F.col("node").alias("fp")).distinct(), "distinct")
+    return survivors(docs, prints, connected(links(distinct, radius, blocks, bucket_rows)))

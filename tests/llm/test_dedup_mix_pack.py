@@ -82,6 +82,16 @@ def test_near_duplicates(spark, bucket_rows):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, a), (2, b), (2, "q r s t u v"), (3, "q r s t u v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for keep in (simhash.keep_one,):
+        # the only null-id row without a copy stays; the row that repeats an id leads its own component
+        assert sorted(keep(docs).collect(), key=str) == sorted(spark.createDataFrame([(1, a), (2, b), (2, "q r s t u v"), (None, c)], docs.schema).collect(), key=str)
+        assert keep(docs.limit(0)).count() == 0
+
+
 def test_mix(spark):
     r = np.random.default_rng(0)
     sources = [f"s{i}" for i in range(7)] + [None]
