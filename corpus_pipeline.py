@@ -23,8 +23,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies stays, that with the smallest id: five-word shingles, Jaccard of 0.8 and more."""
+    return simhash.keep_distinct(docs, words=5, similarity=0.8)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,12 +86,38 @@ def test_one_row_of_each_component_stays(spark):
     a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
     rows = [(None, a), (None, b), (None, b), (None, c), (1, a), (2, b), (2, "q r s t u v"), (3, "q r s t u v")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for keep in (simhash.keep_one,):
+    for keep in (simhash.keep_one, simhash.keep_distinct):
         # the only null-id row without a copy stays; the row that repeats an id leads its own component
         assert sorted(keep(docs).collect(), key=str) == sorted(spark.createDataFrame([(1, a), (2, b), (2, "q r s t u v"), (None, c)], docs.schema).collect(), key=str)
         assert keep(docs.limit(0)).count() == 0
 
 
+def test_stage_finds_copies_of_similarity_from_four_fifths(spark):
+    import corpus_pipeline
+
+    r = np.random.default_rng(4)
+    word = lambda: "".join(chr(97 + c) for c in r.integers(0, 26, 7))
+    texts = []
+    for _ in range(60):
+        own = [word() for _ in range(200)]
+        edits = [own.copy() for _ in range(2)]
+        for n, copy in zip((3, 12), edits):  # Jaccard of about 0.86, and of 0.55
+            for at in r.choice(np.arange(5, 195, 8), n, replace=False):
+                copy[at] = word()
+        texts += [" ".join(x) for x in (own, *edits)]
+    texts += ["x y z"] * 3 + ["", None]
+    sets = [simhash.shingles(t) for t in texts]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if simhash.jaccard(sets[i], sets[j]) >= 0.8:
+                parent = [parent[j] if p == parent[i] else p for p in parent]
+    want = sorted({min(i for i, p in enumerate(parent) if p == q) for q in parent})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(want) == 122 and sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == want
+    assert sorted(r.doc_id for r in simhash.keep_distinct(docs, bucket_rows=1).collect()) == want
+
+
 def test_mix(spark):
     r = np.random.default_rng(0)
     sources = [f"s{i}" for i in range(7)] + [None]
