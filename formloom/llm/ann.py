@@ -99,6 +99,7 @@ class Forest:
                 seen[i, [leaf for at, leaf in v if at == t]] = True
             met |= seen[:, self.sample_leaves[t]]
         score = np.where(met & (ids[:, None] != self.sample_ids), q @ self.sample.T, -np.inf)
+        score = _best_of_id(score, self.sample_ids)
         if score.shape[1] < k:
             return np.full(len(q), -np.inf)
         best = -np.partition(-score, k - 1, axis=1)[:, k - 1]
@@ -136,21 +137,34 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
+def _best_of_id(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """score (queries, rows) -> (queries, distinct ids): an id's rows count once, at their best."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order]) != 0) + 1
+    return score if len(first) + 1 >= len(ids) else np.maximum.reduceat(score[:, order], np.concatenate(([0], first)), axis=1)
+
+
 def best_pairs(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, row position, exact score) of the k best rows for each query that reach its bound."""
+    """(query position, row position, exact score) of the k best ids for each query that reach its bound, each at its best row."""
     found = []
     step = max(1, (1 << 20) // max(1, len(x)))
     for at in range(0, len(q), step):
         rough = q[at : at + step] @ x.T
         rough[query_ids[at : at + step, None] == ids] = -np.inf
         floor = bound[at : at + step].copy()
-        if len(x) > k:
-            floor = np.maximum(floor, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
+        by_id = _best_of_id(rough, ids)
+        if by_id.shape[1] > k:
+            floor = np.maximum(floor, -np.partition(-by_id, k - 1, axis=1)[:, k - 1])
         slack = _EPS * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)))
         i, j = np.nonzero(rough >= (floor - slack)[:, None])
         keep = np.isfinite(rough[i, j])
         i, j = i[keep] + at, j[keep]
         score = np.concatenate([(x[j[a : a + 65536]] * q[i[a : a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
+        order = np.lexsort((-score, ids[j], i))
+        i, j, score = i[order], j[order], score[order]
+        best = np.ones(len(i), bool)
+        best[1:] = (np.diff(i) != 0) | (np.diff(ids[j]) != 0)
+        i, j, score = i[best], j[best], score[best]
         order = np.lexsort((ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         first = np.flatnonzero(np.diff(i, prepend=-1))
@@ -178,7 +192,8 @@ def nearest(
         return df.select("vec_id", v.alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
 
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = clean(vectors)
+    # rows that repeat an id and its vector would fill the sample and the blocks
+    rows = cut(clean(vectors).dropDuplicates(["vec_id", "v"]), "vectors")
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if sizes is None:
         return empty

@@ -120,6 +120,19 @@ def test_nearest(spark):
     assert ann.nearest(vectors.limit(0), vectors).count() == 0
 
 
+def test_repeated_ids_count_once(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(300, 8))
+    x[1] = x[0] * 2
+    # id 1 is nearest, and fills a block: the same row over and over, and rows of its own
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1, x[1].tolist())] * 40 + [(1, (x[1] * (1 - i / 1000)).tolist()) for i in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(vectors, vectors.where("vec_id = 0"), search_share=8.0, part_rows=1000).collect()
+    score = x @ x[0]
+    score[0] = -np.inf
+    assert [g.vec_id for g in sorted(got, key=lambda g: g["rank"])] == np.argsort(-score)[:20].tolist()
+
+
 def test_recall_on_the_table(spark):
     e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = e.collect()
