@@ -74,10 +74,19 @@ class Languages:
         # frames are whole bytes, so short texts come close or tie: what the dictionaries know of the text's own
         # four-byte runs refines the sizes by less than the runs' worth
         runs = {(b" " + clean + b" ")[i : i + 4] for i in range(len(clean) - 1)}
-        known = {lang: len(runs & grams) / len(runs) for lang, _, grams in self._ready()}
+        known = {lang: len(runs & grams) / max(1, len(runs)) for lang, _, grams in self._ready()}
         refined = sorted((size - 4 * known[lang], lang) for lang, size in sizes)
         return refined[0][1], min(1.0, max(0.0, (refined[1][0] - refined[0][0]) / max(1.0, refined[1][0])))
 
+    def clear(self, text: str | None, min_score: float, whole: bool = False) -> bool:
+        """True where the language is told with a score above min_score; with whole, also where no half of the words is told as another."""
+        lang, score = self.predict(text)
+        if lang == UNDETERMINED or score <= min_score:
+            return False
+        words = normalise(text).split() if whole else []
+        half = len(words) // 2
+        return not half or all(self.predict(" ".join(x))[0] == lang for x in (words[:half], words[half:]))
+
 
 def fit(docs: DataFrame, docs_per_lang: int = 400, piece_chars: int = 2000, dict_bytes: int = 112 << 10, **options) -> Languages:
     """Dictionaries from the documents that are not held out and have a language and a text.
@@ -129,8 +138,8 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, languages: Languages, min_score: float = 0.0) -> DataFrame:
-    """The rows of docs whose language is clear: not ``und`` and a score above min_score.
+def keep_identified(docs: DataFrame, languages: Languages, min_score: float = 0.0, whole: bool = False) -> DataFrame:
+    """The rows of docs whose language is clear: not ``und`` and a score above min_score; with whole, the same in both halves of the words.
 
     All columns of docs stay as they are.
     """
@@ -139,7 +148,6 @@ def keep_identified(docs: DataFrame, languages: Languages, min_score: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [languages.predict(t) for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array([lang != UNDETERMINED and score > min_score for lang, score in found], pa.bool_()))
+            yield b.filter(pa.array([languages.clear(t, min_score, whole) for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -105,6 +105,25 @@ def test_language_of_held_out_documents(spark):
     assert kept.columns == docs.columns and kept.count() > 0.995 * docs.count()
 
 
+def test_mixed_and_foreign_texts_are_rejected(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = docs.where(held_out(docs.doc_id)).where("lang is not null").collect()
+    r = np.random.default_rng(1)
+    by = {}
+    for d in held:
+        if len(d.text.split()) >= 60:
+            by.setdefault(d.lang, []).append(d.text.split()[:150])
+    texts = [("mixed", " ".join(a[: min(len(a), len(b)) // 2] + b[: min(len(a), len(b)) // 2])) for x in by for y in by if x < y for a, b in list(zip(by[x], by[y]))[:25]]
+    texts += [("foreign", " ".join("".join(chr(97 + c) for c in r.integers(0, 26, r.integers(2, 9))) for _ in range(n))) for n in (10, 30, 100, 300) for _ in range(25)]
+    texts += [("clean", d.text) for d in held]
+    languages = langid.fit(docs)
+    share = lambda kind: np.mean([languages.clear(t, corpus_pipeline.MIN_MARGIN, whole=True) for k, t in texts if k == kind])
+    assert share("mixed") < 0.05 and share("foreign") < 0.03 and share("clean") > 0.97
+    assert languages.predict("a")[0] in languages.content
+
+
 def test_language_edges(spark):
     languages = langid.Languages({"a": b"the of and " * 50, "b": b"der die das " * 50})
     rows = {(r.doc_id, r.lang_pred) for r in langid.identify(odd_rows(spark), languages).collect()}
