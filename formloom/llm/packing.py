@@ -85,12 +85,12 @@ def _pack_shard(rows: pd.DataFrame, capacity: int, max_sources: int) -> pd.DataF
 def items(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, source, ...) -> what packing needs of each row: (doc_id, n_words, source, cluster).
 
-    The cluster is a hash of the lower-cased text: rows with the same text are one cluster.
+    The cluster is a hash of the lower-cased text: rows with the same text are one cluster. Rows
+    without words, null texts among them, have a null cluster.
     """
     text = F.col("text").cast("string")
-    return docs.select(
-        "doc_id", word_count(text).alias("n_words"), F.col("source").cast("string").alias("source"), F.xxhash64(lower_ascii(text)).alias("cluster")
-    )
+    sized = docs.select("doc_id", word_count(text).alias("n_words"), F.col("source").cast("string").alias("source"), F.xxhash64(lower_ascii(text)).alias("cluster"))
+    return sized.withColumn("cluster", F.when(F.col("n_words") > 0, F.col("cluster")))
 
 
 def pack(rows: DataFrame, n_rows: int, capacity: int = 2048, max_sources: int = 4, shard_docs: int = 8192) -> DataFrame:

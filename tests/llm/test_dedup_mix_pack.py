@@ -201,3 +201,10 @@ def test_pack_whole_table(spark):
         spans = sorted((g.bin_offset, g.bin_offset + g.n_words) for g in own)
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert packing.pack(items.limit(0), 0).count() == 0
+
+
+def test_texts_without_words_conflict_with_nothing(spark):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([None, None, "", " ", " ", "a b", "A b"])], "doc_id long, text string, source string")
+    rows = packing.items(docs)
+    assert rows.where("cluster is null").count() == 5
+    assert len({r.bin for r in packing.pack(rows, rows.count()).collect()}) == 2
