@@ -6,7 +6,10 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,36 +41,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where the session names none (tests in local mode) a temporary folder is set.
+    Where the session names none, a temporary folder is set in local mode, as in tests; on a cluster
+    that is an error, since the machines would not see each other's files.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="formloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def is_scan(df: DataFrame) -> bool:
+    """True where df is files as they lie, with columns chosen and rows filtered at most: each block gives the same rows in the same order whenever it is read."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" or plan.nodeName().startswith("Relation")
+
+
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def small_batches(spark: SparkSession, mb: int = 4) -> None:
+    """Texts reach Python in Arrow batches of a few MB, unless the session asks for still smaller ones."""
+    most = mb << 20
+    now = spark.conf.get(_BATCH_BYTES, "67108864b").strip().lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= most:
+        spark.conf.set(_BATCH_BYTES, f"{most}b")
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: int, rows: int = 512, text_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, in batches of at most so many rows and, but for one long text, bytes of column text."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False)
+        at, held = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if i > at and (i - at >= rows or held + n > text_bytes):
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if at < b.num_rows:
+            yield b.slice(at)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: its lineage ends there.
+    """Write df to the shared folder and read it back: its lineage ends there, and its shuffles' files go.
 
-    The files survive the loss of executors and go when the driver's JVM ends.
+    The files survive the loss of executors. drop_cut deletes them as soon as nothing reads them any
+    more; what is left goes when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/formloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._formloom_cut = path
+    return out
 
 
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table made by cut() that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/formloom-" in path:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    path = getattr(df, "_formloom_cut", None)
+    if path:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def forget_shuffles(spark: SparkSession, rounds: int = 3) -> None:

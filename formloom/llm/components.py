@@ -15,7 +15,7 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     nulls are ignored. Every round is a few joins and group-bys on the links alone:
     the number of links never grows, and each round's table is written to the shared
     folder, so that a lost executor costs one round at most. Only a row count and a
-    checksum reach the driver.
+    checksum reach the driver, and no table of links is broadcast.
     """
     edges = cut(
         links.where("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct(),
@@ -28,11 +28,11 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
+            both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
         )
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (
-            large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(low).distinct()
+            large.join(low.hint("merge"), "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(low).distinct()
         )
         new = cut(small, "links")
         new_mark = _mark(new)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut, drop_cut, forget_shuffles
+from formloom.llm.common import cut, drop_cut, slices, small_batches
 from formloom.llm.components import connected
 
 BITS = 64
@@ -82,10 +82,11 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint as a signed long; one row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             found = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     picked = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return picked.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp bigint")
 
@@ -274,12 +275,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: in
 
 
 _HEAD = 32
-_BITMAP = 1 << 24
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """docs -> (doc_id, text, head, text_hash): the last two stand for the text where rows are compared."""
     text = F.col("text").cast("string")
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", text.alias("text"), F.substring(text, 1, _HEAD).alias("head"), F.xxhash64(text).alias("text_hash"))
 
 
@@ -287,11 +288,11 @@ def survivors(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame
     """prints(doc_id, head, text_hash, node) of docs' rows, roots(node, root) -> the first row of docs of each component.
 
     Nodes without a root are components of their own. First is the smallest id, nulls last, then the
-    text (its first characters, then its hash). Whole texts are shuffled once, and rows that repeat an
-    id and text meet before the shuffle.
+    text (its first characters, then its hash). Texts stay where they are until all but the survivors
+    are gone: rows meet the keys of the survivors, and only rows that repeat an id and text meet again.
     """
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "head", "text_hash")
-    least = prints.groupBy("node").agg(F.min(order).alias("first")).join(roots, "node", "left")
+    least = prints.groupBy("node").agg(F.min(order).alias("first")).join(roots.hint("merge"), "node", "left")
     first = least.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.*")
 
     def key(df: DataFrame, text_hash: Column) -> list[Column]:
@@ -299,8 +300,9 @@ def survivors(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame
         return [i.isNull().alias("_formloom_no_id"), F.coalesce(i.cast("string"), F.lit("")).alias("_formloom_id"), text_hash.alias("_formloom_hash")]
 
     kept = first.select(*key(first, first["text_hash"])).distinct()
-    rows = docs.groupBy(*key(docs, F.xxhash64(docs["text"].cast("string")))).agg(F.min(F.struct(*docs.columns)).alias("_formloom_row"))
-    return rows.join(kept, kept.columns, "left_semi").select("_formloom_row.*")
+    rows = docs.select(*key(docs, F.xxhash64(docs["text"].cast("string"))), F.struct(*docs.columns).alias("_formloom_row"))
+    found = rows.join(kept.hint("merge"), kept.columns, "left_semi")
+    return found.groupBy(*kept.columns).agg(F.min("_formloom_row").alias("_formloom_row")).select("_formloom_row.*")
 
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4, bucket_rows: int = 4096) -> DataFrame:
@@ -308,7 +310,7 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4,
     keyed = _keyed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             found = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(found.view(np.int64))], ["doc_id", "head", "text_hash", "node"])
 
@@ -317,9 +319,35 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4,
     return survivors(docs, prints, connected(links(distinct, radius, blocks, bucket_rows)))
 
 
+def _flat(text: str | None) -> bytes:
+    """The words of a text as shingles have them; equal ones are one node."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) if text else b""
+
+
+def _node(flat: bytes) -> int:
+    return xxhash.xxh64_intdigest(flat, 7)
+
+
+def _longs(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+_FILTER_BITS = 1 << 24
+
+
+def _filter_of(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of _FILTER_BITS with a bit for each node: of one size whatever their number, built by the executors."""
+    place = F.col("node").bitwiseAND(F.lit(_FILTER_BITS - 1))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = nodes.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    out = np.zeros(_FILTER_BITS // 64, np.int64)
+    out[[r.word for r in words]] = [r.bits for r in words]
+    return out
+
+
 def keep_distinct(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 24, bands: int = 20, band_rows: int = 5,
-    bucket_rows: int = 4096, bucket_shingles: int = 1 << 23, seed: int = 3,
+    bucket_rows: int = 4096, bucket_shingles: int = 1 << 22, seed: int = 3,
 ) -> DataFrame:
     """The rows of docs without near copies: of each component of pairs of Jaccard >= similarity the first, see survivors.
 
@@ -330,39 +358,45 @@ def keep_distinct(
     differ in 9.7 bits of 64 (standard deviation 2.9), and pairs within ``radius`` are held against the exact
     similarity of their sets. Texts without words are copies of each other. Texts that are equal when
     normalised are one node, named by its XXH64 hash.
+
+    The first scan makes fingerprints and bands. Only texts that share a bucket need their sets: a second
+    scan makes those, once in a partition for each node. A bitmap of a fixed 2 MB tells the scan which; it
+    lets more pass the more nodes there are, and the join with the buckets drops what it let pass.
     """
     r = np.random.default_rng(seed)
     factors = r.integers(0, 1 << 63, bands * band_rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = r.integers(0, 1 << 63, bands * band_rows, dtype=np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            nodes, fps, keys, sets = [], [], [], []
+    def banded(own: np.ndarray) -> tuple[int, np.ndarray]:
+        counts, least = np.zeros(BITS, np.int64), np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+        for at in range(0, len(own), 1024):
+            part = own[at : at + 1024]
+            counts += _bit_counts(part)
+            least = np.minimum(least, (part[:, None] * factors + shifts).min(axis=0))
+        packed, step = least.astype("<u8").tobytes(), 8 * band_rows
+        keys = [xxhash.xxh64_intdigest(packed[i * step : (i + 1) * step], i) for i in range(bands if len(own) else 0)]
+        return _majority(counts, len(own)), np.array(keys, np.uint64).view(np.int64)
+
+    def first_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            nodes, fps, sizes, keys = [], [], [], []
             for text in b.column(1).to_pylist():
                 own = shingles(text, words)
-                counts, least = np.zeros(BITS, np.int64), np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-                for at in range(0, len(own), 2048):
-                    part = own[at : at + 2048]
-                    counts += _bit_counts(part)
-                    least = np.minimum(least, (part[:, None] * factors + shifts).min(axis=0))
-                flat = b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) if text else b""
-                nodes.append(xxhash.xxh64_intdigest(flat, 7))
-                fps.append(_majority(counts, len(own)))
-                packed = least.astype("<u8").tobytes()
-                step = 8 * band_rows
-                keys.append(np.array([xxhash.xxh64_intdigest(packed[i * step : (i + 1) * step], i) for i in range(bands if len(own) else 0)], np.uint64).view(np.int64))
-                sets.append(own.view(np.int64))
-            as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            lists = lambda x: pa.array(x, pa.list_(pa.int64()))
+                fp, bands_of = banded(own)
+                nodes.append(_node(_flat(text)))
+                fps.append(fp)
+                sizes.append(len(own))
+                keys.append(bands_of)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), b.column(3), as_long(nodes), as_long(fps), lists(keys), lists(sets)],
-                ["doc_id", "head", "text_hash", "node", "fp", "keys", "shingles"],
+                [b.column(0), b.column(2), b.column(3), _longs(nodes), _longs(fps), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "head", "text_hash", "node", "fp", "n_shingles", "keys"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    prints = cut(_keyed(docs).mapInArrow(run, f"doc_id {kind}, head string, text_hash bigint, node bigint, fp bigint, keys array<bigint>, shingles array<bigint>"), "sets")
-    nodes = prints.select("node", "keys", F.size("shingles").alias("n_shingles")).dropDuplicates(["node"])
-    spread = nodes.select("node", "n_shingles", F.posexplode("keys").alias("t", "key"))
+    keyed = _keyed(docs)
+    prints = cut(keyed.mapInArrow(first_scan, f"doc_id {kind}, head string, text_hash bigint, node bigint, fp bigint, n_shingles bigint, keys array<bigint>"), "prints")
+    # rows of a node have the same bands, so a bucket's distinct nodes are found without their arrays in a shuffle
+    spread = prints.select("node", "n_shingles", F.posexplode("keys").alias("t", "key")).distinct()
     buckets = (
         spread.groupBy("t", "key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held"), F.bit_xor(F.xxhash64("node")).alias("members"))
         .where("n > 1")
@@ -370,32 +404,42 @@ def keep_distinct(
     # near copies share most bands: buckets of the same members are compared once
     once = buckets.groupBy("n", "members").agg(F.min(F.struct("t", "key")).alias("b"), F.min("held").alias("held")).select("b.*", "n", "held")
     deal = F.ceil(F.greatest(F.col("n") / bucket_rows, F.col("held") / bucket_shingles))
-    dealt = cut(_dealt(spread, once, deal, "node"), "buckets")
-    # most texts are in no bucket: a bitmap of a fixed size keeps nearly all their sets out of the shuffle; what it lets pass the join drops
-    place = F.col("node").bitwiseAND(F.lit(_BITMAP - 1))
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    some = dealt.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
-    bitmap = np.zeros(_BITMAP // 64, np.int64)
-    bitmap[[r.word for r in some]] = [r.bits for r in some]
-    known = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.column(0).to_numpy() & (_BITMAP - 1)
-            yield b.filter(pa.array((known.value[at >> 6] >> (at & 63)) & 1 == 1))
-
-    sets = prints.select("node", "fp", "shingles").mapInArrow(pick, "node bigint, fp bigint, shingles array<bigint>").dropDuplicates(["node"])
+    dealt = cut(_dealt(spread, once.hint("merge"), deal, "node"), "buckets")
+    known = docs.sparkSession.sparkContext.broadcast(_filter_of(dealt))
+
+    def second_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in slices(batches, 0):
+            nodes, fps, sets = [], [], []
+            for text in b.column(0).to_pylist():
+                node = _node(_flat(text))
+                at = node & (_FILTER_BITS - 1)
+                if int(known.value[at >> 6]) >> (at & 63) & 1 and node not in seen:
+                    seen.add(node)
+                    own = shingles(text, words)
+                    nodes.append(node)
+                    fps.append(_majority(sum((_bit_counts(own[i : i + 4096]) for i in range(0, len(own), 4096)), np.zeros(BITS, np.int64)), len(own)))
+                    sets.append(own.astype("<u8").tobytes())
+            if nodes:
+                yield pa.RecordBatch.from_arrays([_longs(nodes), _longs(fps), pa.array(sets, pa.binary())], ["node", "fp", "shingles"])
+
+    # nodes that no bucket has go before their sets travel further; of each node's sets, one for each partition, one stays
+    wanted = dealt.select("node").distinct()
+    sets = keyed.select("text").mapInArrow(second_scan, "node bigint, fp bigint, shingles binary").join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols, firsts in _buckets(batches, 7):
             held = cols[6]
-            pairs = _spanning(cols[4], firsts, radius, lambda i, j: jaccard(held[i], held[j]) >= similarity)
+            hashes = [np.frombuffer(x, "<u8") for x in held]
+            pairs = _spanning(cols[4], firsts, radius, lambda i, j: jaccard(hashes[i], hashes[j]) >= similarity)
             yield _out(cols[5][pairs])
 
-    found = cut(_sorted(dealt.join(sets, "node").select(*_GROUP, "fp", "node", "shingles"), "fp").mapInArrow(compare, "u bigint, v bigint"), "similar")
+    met = dealt.join(sets.hint("merge"), "node").select(*_GROUP, "fp", "node", "shingles")
+    found = cut(_sorted(met, "fp").mapInArrow(compare, "u bigint, v bigint"), "similar")
     light = cut(prints.select("doc_id", "head", "text_hash", "node"), "nodes")
+    known.destroy()
     drop_cut(prints)
     drop_cut(dealt)
-    del prints, nodes, spread, buckets, once, dealt, sets
-    forget_shuffles(docs.sparkSession)
-    return survivors(docs, light, connected(found))
+    roots = connected(found)
+    drop_cut(found)
+    return survivors(docs, light, roots)
