@@ -1,13 +1,16 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-Each step of the network is a word. Its input joins a hashed word embedding and the mean of
-hashed character n-gram embeddings (bytes, with word boundaries), so that unseen word forms
-share what their characters have in common. Gates are hard sigmoids, candidate states
-softsigns: both are cheap where a hundred million steps are taken. A text is cut into
-overlapping windows that cover all of it; its score is that of its most toxic window.
-
-Training is multiple-instance: in each epoch a document's currently most toxic window stands
-for it. The sample is bounded by ``max_docs``; the rest is untouched by the input's size.
+Each step of the network is a word. Its input joins what a hashed word table and a table of hashed
+character n-grams (bytes, with word boundaries; the mean over the word) say of it, so that unseen
+word forms share what their characters have in common. The tables hold smoothed log-odds of the
+labels. They are cross-fitted: while the network trains on a document, it sees tables made without
+that document's fold, or it would learn to trust words that only that document has. Gates are hard
+sigmoids, candidate states softsigns: both are cheap where a hundred million steps are taken. A text
+is cut into overlapping windows that cover all of it; its score is that of its most toxic window.
+
+Training is multiple-instance: in each epoch a document's currently most toxic window stands for
+it. The sample is bounded by ``max_docs`` documents, ``max_windows`` of each and ``window_bytes``
+of each window; the rest is untouched by the input's size.
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import held_out
+from formloom.llm.common import held_out, slices, small_batches
 
 _TRIM = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
-_GRAMS = (3, 5)
-_SLICE_WORDS = 300_000
+_GRAMS = (4, 8)
+_SLICE_WORDS = 100_000
 _LANES = 1024
 _WORDS_AT_ONCE = 1 << 15
 
@@ -39,7 +42,7 @@ class Shape:
     attention: int = 8
     word_rows: int = 1 << 18
     gram_rows: int = 1 << 17
-    width: int = 6
+    width: int = 1
 
 
 @dataclass
@@ -156,7 +159,7 @@ class Network:
     # forward
 
     def inputs(self, w: Words, own: np.ndarray) -> np.ndarray:
-        """Word and n-gram embeddings of the distinct words in own."""
+        """What the tables hold of the distinct words in own, and of their n-grams on average."""
         x = np.empty((len(own), 2 * self.shape.width), np.float32)
         for at in range(0, len(own), _WORDS_AT_ONCE):
             part = own[at : at + _WORDS_AT_ONCE]
@@ -221,13 +224,14 @@ class Network:
         at = np.minimum(begin + steps, len(index.words) - 1)
         return np.where(mask, index.words[at], index.size), mask.astype(np.float32)
 
-    def window_logits(self, w: Words, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    def window_logits(self, w: Words, begin: np.ndarray, length: np.ndarray, inputs: np.ndarray | None = None) -> np.ndarray:
+        """Logit of each window. inputs: those of all distinct words, where the tables are not to be asked."""
         out = np.empty(len(begin), np.float32)
         order = np.argsort(-length, kind="stable")
         for at in range(0, len(order), _LANES * 8):
             group = order[at : at + _LANES * 8]
             sub, used = w.only(begin[group], length[group])
-            projected = self.project(self.inputs(w, used))
+            projected = self.project(self.inputs(w, used) if inputs is None else inputs[used])
             for k in range(0, len(group), _LANES):
                 own = group[k : k + _LANES]
                 out[own] = self.forward(projected, *self.lanes(sub, begin[own], length[own]))
@@ -256,8 +260,8 @@ class Network:
         grads["u" + u_name] = d_u
         return d_proj
 
-    def backward(self, w: Words, used: np.ndarray, x: np.ndarray, cache: dict, d_logit: np.ndarray) -> dict:
-        """Gradients; used: the words that the cache's numbers and the rows of x stand for."""
+    def backward(self, x: np.ndarray, cache: dict, d_logit: np.ndarray) -> dict:
+        """Gradients of all but the tables; the rows of x are the words that the cache's numbers stand for."""
         p, n, g = self.p, self.shape.hidden, {}
         states, att = cache["states"], cache["att"]
         g["wo"], g["bo"] = cache["pooled"].T @ d_logit, d_logit.sum(keepdims=True)
@@ -272,18 +276,12 @@ class Network:
         ids = cache["ids"].ravel()
         order = np.argsort(ids, kind="stable")
         kinds, first = np.unique(ids[order], return_index=True)
-        real = kinds < len(used)
-        d_x = np.zeros_like(x)
+        real = kinds < len(x)
         for k, part in (("f", d_states[:, :, :n]), ("b", d_states[:, :, n:])):
             d = self._run_back(part, cache["k" + k], k, cache["mask"], g).reshape(-1, 3 * n)
             by_word = np.add.reduceat(d[order], first, axis=0)[real]
             own = kinds[real]
             g["w" + k], g["b" + k] = x[own].T @ by_word, by_word.sum(axis=0)
-            d_x[own] += by_word @ p["w" + k].T
-        width = self.shape.width
-        g["word"] = (w.rows[used], d_x[:, :width])
-        spots, sizes, _ = w.spots(used)
-        g["gram"] = (w.grams[spots], np.repeat(d_x[:, width:] / sizes[:, None], sizes, axis=0))
         return g
 
     # whole texts
@@ -317,140 +315,165 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def train(texts: list[str], labels: list[int], shape: Shape = Shape(), epochs: int = 8, batch: int = 256, rate: float = 0.01, seed: int = 7) -> Network:
-    """Fit to documents with labels 0 and 1. The last fifth of them, shuffled, only sets the scale of the score.
+def cut_windows(text: str | None, shape: Shape, max_windows: int, window_bytes: int) -> list[str]:
+    """Windows of a text as the scoring has them; of more than max_windows as many, evenly spaced over the whole text, and none of more bytes."""
+    words = (text or "").split()
+    starts = range(0, max(1, len(words) - shape.window + shape.stride), shape.stride) if words else ()
+    n = min(len(starts), max_windows)
+    chosen = (" ".join(words[starts[i * len(starts) // n] :][: shape.window]) for i in range(n))
+    return [x for x in chosen if len(x.encode("utf-8", "surrogatepass")) <= window_bytes]
+
+
+def train(docs: list[str | list[str]], labels: list[int], shape: Shape = Shape(), epochs: int = 12, batch: int = 256, rate: float = 0.01, folds: int = 5, seed: int = 7) -> Network:
+    """Fit to documents, given as texts or as windows, with labels 0 and 1. Their scores by tables without their folds set the cut.
 
     With one label only, or none, the network stays untrained and every score is low.
     """
-    net, rng, y_doc = Network(shape, seed), np.random.default_rng(seed), np.array(labels, np.float32)
-    if len(set(labels)) < 2:
+    net, rng = Network(shape, seed), np.random.default_rng(seed)
+    pieces = [cut_windows(own, shape, len(own), len(own) * 4) if isinstance(own, str) else own for own in docs]
+    kept = [(own, y) for own, y in zip(pieces, labels) if own]
+    if len({y for _, y in kept}) < 2:
         net.scale, net.shift = 0.0, -4.0
         return net
-    w = split_words(texts, shape)
-    text, begin, length = window_starts(w.counts, shape)
-    mix = rng.permutation(len(texts))
-    fitted = np.zeros(len(texts), bool)
-    fitted[mix[: max(1, len(mix) * 4 // 5)]] = True
+    y_doc = np.array([y for _, y in kept], np.float32)
+    w = split_words([x for own, _ in kept for x in own], shape)
+    text = np.repeat(np.arange(len(kept)), [len(own) for own, _ in kept])
+    length = w.counts
+    begin = np.cumsum(length) - length
+    some = length > 0
+    text, begin, length = text[some], begin[some], np.minimum(length[some], shape.window)
+    fold = rng.permutation(len(kept)) % folds
+    tables = _log_odds(net, w, text, begin, length, y_doc, fold, folds)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items() if k not in ("word", "gram")}
-    squares = {k: np.full(len(net.p[k]), 1e-4, np.float32) for k in ("word", "gram")}
-    windows = np.flatnonzero(fitted[text])
-    odds = _log_odds(net, w, np.where(fitted, y_doc, -1))
     steps = 0
+
+    def logits_now() -> np.ndarray:
+        out = np.full(len(text), -np.inf)
+        for f in range(folds):
+            own = np.flatnonzero(fold[text] == f)
+            if len(own):
+                out[own] = net.window_logits(w, begin[own], length[own], tables[f])
+        return out
+
     for epoch in range(epochs):
-        if epoch == 0:
-            spread = odds[w.index]
-            worst = np.array([spread[b : b + n].max() for b, n in zip(begin, length)])
+        if epoch:
+            worst = logits_now()
         else:
-            worst = net.window_logits(w, begin, length)
-        rank = windows[np.lexsort((worst[windows], text[windows]))]
-        top = rank[np.append(np.flatnonzero(np.diff(text[rank])), len(rank) - 1)] if len(rank) else rank
-        extra = rng.choice(windows, min(len(windows), len(top)), replace=False)
+            worst = np.array([tables[fold[t]][w.index[b : b + n]].sum(axis=1).max() for t, b, n in zip(text, begin, length)])
+        rank = np.lexsort((worst, text))
+        top = rank[np.append(np.flatnonzero(np.diff(text[rank])), len(rank) - 1)]
+        extra = rng.choice(len(text), min(len(text), len(top)), replace=False)
         chosen = np.unique(np.concatenate([top, extra[y_doc[text[extra]] == 0]]))
         rng.shuffle(chosen)
         positive = max(1.0, y_doc[text[chosen]].sum())
         weight = np.float32(min(4.0, max(1.0, (len(chosen) - positive) / positive)))
         size = min(batch, max(16, len(chosen) // 24))
         pace = rate * (1 if epoch < epochs * 2 // 3 else 0.3)
-        for at in range(0, len(chosen), size):
-            own = chosen[at : at + size]
+        by_fold = [chosen[fold[text[chosen]] == f] for f in range(folds)]
+        groups = [(f, own[at : at + size]) for f, own in enumerate(by_fold) for at in range(0, len(own), size)]
+        for f, own in (groups[i] for i in rng.permutation(len(groups))):
             sub, used = w.only(begin[own], length[own])
             ids, mask = net.lanes(sub, begin[own], length[own])
-            x, cache = net.inputs(w, used), {}
+            x, cache = tables[f][used], {}
             logits = net.forward(net.project(x), ids, mask, cache)
             y = y_doc[text[own]]
             d = (1 / (1 + np.exp(-logits)) - y) * np.where(y > 0, weight, 1) / len(own)
-            grads = net.backward(w, used, x, cache, d.astype(np.float32))
+            grads = net.backward(x, cache, d.astype(np.float32))
             steps += 1
             for k, (m, v) in moments.items():
                 g = np.clip(grads[k], -1, 1)
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net.p[k] -= (pace * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-6)).astype(np.float32)
-            for k in ("word", "gram"):
-                rows, g = grads[k]
-                order = np.argsort(rows, kind="stable")
-                kinds, first = np.unique(rows[order], return_index=True)
-                g = np.add.reduceat(g[order], first, axis=0)
-                squares[k][kinds] += (g * g).mean(axis=1)
-                net.p[k][kinds] -= 5 * pace * g / np.sqrt(squares[k][kinds])[:, None]
-    logits = np.full(len(texts), -np.inf)
-    np.maximum.at(logits, text, net.window_logits(w, begin, length).astype(float))
-    checked = ~fitted if len(set(y_doc[~fitted])) == 2 else np.ones(len(texts), bool)
-    net.scale, net.shift = _calibrate(logits[checked], y_doc[checked])
+    logits = np.full(len(kept), -np.inf)
+    np.maximum.at(logits, text, logits_now())
+    net.scale, net.shift = _calibrate(logits, y_doc)
     return net
 
 
-def _log_odds(net: Network, w: Words, y: np.ndarray) -> np.ndarray:
-    """Start the embeddings from labels: column 0 of a row is the smoothed log-odds, by documents, of what it stands for.
+def _log_odds(net: Network, w: Words, text: np.ndarray, begin: np.ndarray, length: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int) -> list[np.ndarray]:
+    """Fill the tables from all documents: smoothed log-odds, by documents, of words and n-grams.
 
-    y: 1, 0, or -1 for documents to leave out. Returns the sum of both columns for each distinct word.
+    Returns for each fold the inputs of all distinct words by tables made without it.
     """
-    n_word, n_gram = net.shape.word_rows, net.shape.gram_rows
-    seen = {"word": np.zeros((2, n_word)), "gram": np.zeros((2, n_gram))}
-    begin = np.cumsum(w.counts) - w.counts
-    for i in np.flatnonzero((y >= 0) & (w.counts > 0)):  # a document at a time: memory is that of the largest
-        own, label = np.unique(w.index[begin[i] : begin[i] + w.counts[i]]), int(y[i])
-        seen["word"][label][np.unique(w.rows[own])] += 1
-        seen["gram"][label][np.unique(w.grams[w.spots(own)[0]])] += 1
-    smooth, totals = 2.0, [(y == 0).sum() + 4.0, (y == 1).sum() + 4.0]
-    neutral = np.log(totals[0] / totals[1])
-    for k, (clean, toxic) in seen.items():
-        odds = np.log((toxic + smooth) / totals[1]) - np.log((clean + smooth) / totals[0])
-        net.p[k][:, 0] = np.where(toxic + clean > 0, np.clip(odds - neutral * smooth / (toxic + clean + smooth), -2, 4), 0)
-    x = net.inputs(w, np.arange(len(w.rows)))
-    return x[:, 0] + x[:, net.shape.width]
+    seen = {"word": np.zeros((folds, 2, net.shape.word_rows), np.float32), "gram": np.zeros((folds, 2, net.shape.gram_rows), np.float32)}
+    order = np.argsort(text, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(text[order])) + 1):  # a document at a time
+        words = np.unique(np.concatenate([w.index[b : b + n] for b, n in zip(begin[own], length[own])]))
+        at = fold[text[own[0]]], int(y[text[own[0]]])
+        seen["word"][at][np.unique(w.rows[words])] += 1
+        seen["gram"][at][np.unique(w.grams[w.spots(words)[0]])] += 1
+    smooth, out = 2.0, []
+    for f in [*range(folds), None]:
+        use = fold != f if f is not None else np.ones(len(y), bool)
+        totals = [((y == 0) & use).sum() + 4.0, ((y == 1) & use).sum() + 4.0]
+        neutral = np.log(totals[0] / totals[1])
+        for k, counts in seen.items():
+            clean, toxic = counts.sum(axis=0) - (counts[f] if f is not None else 0)
+            odds = np.log((toxic + smooth) / totals[1]) - np.log((clean + smooth) / totals[0])
+            net.p[k][:] = np.where(toxic + clean > 0, np.clip(odds - neutral * smooth / (toxic + clean + smooth), -2, 4), 0)[:, None]
+        if f is not None:
+            out.append(net.inputs(w, np.arange(len(w.rows))))
+    return out
 
 
 def _calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift that put the cut with the fewest mistakes at a score of 0.3."""
+    """Scale and shift that put the cut with the best F1, halfway to the next score, at 0.3."""
     ok = np.isfinite(logits)
-    logits, y = logits[ok], y[ok]
-    order = np.argsort(logits)
-    s, t = logits[order], y[order]
-    wrong = np.cumsum(np.append(0, t)) + np.append(np.cumsum((1 - t)[::-1])[::-1], 0)  # cut before position i
-    best = np.flatnonzero(wrong == wrong.min())
-    lo, hi = best[0], best[-1]
-    left = s[lo - 1] if lo > 0 else s[0] - 1
-    right = s[hi] if hi < len(s) else s[-1] + 1
-    cut = 0.5 * (left + right)
+    order = np.argsort(logits[ok])
+    s, t = logits[ok][order], y[ok][order]
+    caught = np.cumsum(t[::-1])[::-1]  # cut before position i: all from there on are told toxic
+    f1 = 2 * caught / (len(s) - np.arange(len(s)) + max(1.0, t.sum()))
+    at = int(np.argmax(f1))
+    cut = 0.5 * (s[at - 1] + s[at]) if at else s[0] - 1
     return 1.0, float(np.log(0.3 / 0.7) - cut)
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_docs: int) -> DataFrame | None:
-    """(doc_id, text, toxic) of at most max_docs documents, three tenths of them toxic where there are as many.
+    """(doc_id, text, toxic) of the rows of at most max_docs ids, three tenths of them toxic where there are as many.
 
-    Labels of the held-out fold, null labels and null ids are left out; the smallest hashes of the ids win.
-    None where no label is left.
+    Labels of the held-out fold, null labels, null ids and ids with both labels are left out; the smallest
+    hashes of the ids win. None where no label is left.
     """
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    one = known.groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("other")).where("toxic = other").select("doc_id", "toxic")
     ids = []
     for label in (0, 1):
-        ids += known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs * (3 if label else 7) // 10).collect()
+        ids += one.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs * (3 if label else 7) // 10).collect()
     if not ids:
         return None
-    small = docs.sparkSession.createDataFrame(ids, known.schema).dropDuplicates(["doc_id"])  # max_docs ids at most
+    small = docs.sparkSession.createDataFrame(ids, one.schema)  # max_docs ids at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(small), "doc_id").where("text is not null").limit(2 * max_docs)
+    return texts.join(F.broadcast(small), "doc_id").where("text is not null")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, **options) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_windows: int = 128, window_bytes: int = 1024, shape: Shape = Shape(), **options) -> Network:
     """docs(doc_id, text), labels(doc_id, toxic) -> a network trained on a bounded sample.
 
-    The training is one task on an executor, which is run again if that is lost; the driver gets the
-    trained network only.
+    Texts are cut into windows where they are read; only windows are shuffled. The training is one task on
+    an executor, which is run again if that is lost, and holds max_docs * max_windows * window_bytes at most; the
+    driver gets the trained network only. Of rows that repeat an id, the one with the smallest hash of its text counts.
     """
+    small_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            found = [cut_windows(t, shape, max_windows, window_bytes) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(found, pa.list_(pa.string()))], ["doc_id", "toxic", "h", "windows"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
-        net = train([t for _, t, _ in rows], [int(y) for _, _, y in rows], **options)
-        parts = pickle.dumps(net)
-        yield pa.RecordBatch.from_arrays([pa.array([parts], pa.binary())], ["net"])
+        rows = sorted((h, y, own) for b in batches for h, y, own in zip(*(c.to_pylist() for c in b.columns)))
+        net = train([own for _, _, own in rows], [y for _, y, _ in rows], shape, **options)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
 
     chosen = sample(docs, labels, max_docs)
     if chosen is None:
-        return train([], [], **options)
-    trained = chosen.repartition(1).mapInArrow(learn, "net binary").first()
-    return pickle.loads(trained[0]) if trained else train([], [], **options)
+        return train([], [], shape, **options)
+    cut_ = chosen.select("doc_id", "text", "toxic", F.xxhash64("text").alias("h")).mapInArrow(windows, f"doc_id {kind}, toxic int, h bigint, windows array<string>")
+    one = cut_.groupBy("doc_id").agg(F.min(F.struct("h", "toxic", "windows")).alias("x")).select(F.xxhash64("doc_id").alias("h"), "x.toxic", "x.windows")
+    trained = one.repartition(1).mapInArrow(learn, "net binary").first()
+    return pickle.loads(trained[0]) if trained else train([], [], shape, **options)
 
 
 def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
@@ -460,10 +483,11 @@ def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
     word score 0. Only the text enters the score; other columns are ignored.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             found = model.value.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
@@ -474,10 +498,11 @@ def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
 def keep_clean(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose score is below the threshold, with all their columns."""
     at = docs.columns.index("text")
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, at):
             yield b.filter(pa.array(model.value.scores(b.column(at).to_pylist()) < threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

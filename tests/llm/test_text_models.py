@@ -43,7 +43,7 @@ def test_gradients_of_the_network():
         return net.forward(projected, ids, mask, cache), cache, used, x
 
     logits, cache, used, x = loss()
-    grads = net.backward(w, used, x, cache, np.ones(len(logits), np.float32))
+    grads = net.backward(x, cache, np.ones(len(logits), np.float32))
     for k in ("uf", "ub", "wa", "va", "wo", "wf", "wb", "bf"):
         flat, got, want = net.p[k].reshape(-1), [], []
         for i in range(0, len(flat), max(1, len(flat) // 5)):
@@ -156,7 +156,7 @@ def test_backoff_scores_are_those_of_brute_force(spark, order):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(80).collect()
     rows = [(r.doc_id, r.text) for r in rows] + [(1000, None), (1001, ""), (1002, rows[0].text), (1003, "Unseen")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
-    got = {r.doc_id: r for r in lm.backoff_scores(docs, order=order, chunk_chars=20000, bucket_chars=50000).collect()}
+    got = {r.doc_id: r for r in lm.backoff_scores(docs, order=order, chunk_chars=20000).collect()}
     for (doc_id, _), (n, log) in zip(rows, brute_force([t for _, t in rows], order)):
         assert got[doc_id].n_words == n and got[doc_id].log_score == pytest.approx(log, abs=1e-8)
     assert got[1000].perplexity is None and got[1001].n_words == 0
