@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formloom.llm.common import cut, word_count
@@ -32,11 +32,20 @@ _BITS = 48
 _CHUNK = 1 << 16
 
 
+def _skey() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns (but maps, which have none): rows of one hash are the same row again."""
+    return F.xxhash64(*(f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """docs -> (doc_id, source, size, skey, h, part): the words of each text, once, without the text."""
-    skey = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = docs.select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"), skey.alias("skey"), h.alias("h"))
+    """docs -> (doc_id, source, size, skey, row_hash, h, part): the words of each text, once, without the text."""
+    skey, row_hash = _skey(), _row_hash(docs)
+    h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), row_hash.cast("string"))).cast("binary"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"), skey.alias("skey"), row_hash.alias("row_hash"), h.alias("h"))
     return cut(sized.withColumn("part", F.substring("h", 1, _RANGE_DIGITS)), "sizes")
 
 
@@ -109,17 +118,11 @@ def schedule(goals: DataFrame, block_words: int = 1024) -> DataFrame:
     return out.select("slot", "skey", "block", "round", F.when(F.col("k") < full, length).otherwise(F.least(length, left)).cast("long").alias("take"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, block_words: int = 1024) -> DataFrame:
-    """docs(doc_id, source, text, ...) -> (doc_id, size, source_size, target, taken, source), a row for each row.
-
-    size: words of the text (null: 0). taken: the words of the document in the mix, repeats counted,
-    at most ``cap`` times its size. A null source is a source of its own, the last. Rows without words
-    take nothing; rows that repeat an id are documents of their own, next to each other on the line;
-    other columns are ignored. An empty table, or one without words, gives targets of 0.
-    """
+def _taken(docs: DataFrame, weights: Sequence[int], cap: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """(a row for each row with the words taken of it, a row for each source): see mix."""
     sized = measured(docs)
     goals = cut(targets(sized, weights, cap), "goals")
-    inside = Window.partitionBy("skey", "part").orderBy("h", "doc_id", "size")
+    inside = Window.partitionBy("skey", "part").orderBy("h", "doc_id", "size", "row_hash")
     placed = sized.withColumn("inner", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("row", F.row_number().over(inside))
     ranges = sized.groupBy("skey", "part").agg(F.sum("size").alias("n"))
     sums = ranges.select("skey", "part", (F.sum("n").over(Window.partitionBy("skey").orderBy("part")) - F.col("n")).alias("offset"))
@@ -127,7 +130,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, block
     end = F.floor(F.greatest(F.col("begin"), F.col("begin") + F.col("size") - 1) / block_words)
     pieces = (
         placed.join(sums, ["skey", "part"]).withColumn("begin", F.col("offset") + F.col("inner"))
-        .select("doc_id", "source", "skey", "part", "row", "size", "begin", F.explode(F.sequence(begin, end)).alias("block"))
+        .select("doc_id", "source", "skey", "part", "row", "row_hash", "size", "begin", F.explode(F.sequence(begin, end)).alias("block"))
     )
     # a block is taken a few times: what counts is how often whole words before each stop
     taken_blocks = schedule(goals, block_words).groupBy("skey", "block").agg(F.collect_list("take").alias("takes"))
@@ -137,26 +140,39 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, block
         F.coalesce("takes", F.array().cast("array<bigint>")), F.lit(0).cast("long"),
         lambda acc, take: acc + F.greatest(F.lit(0).cast("long"), F.least(high, at + take) - low),
     )
-    sums_ = (
-        pieces.join(taken_blocks, ["skey", "block"], "left")
-        .groupBy("skey", "part", "row", "doc_id", "source", "size").agg(F.sum(part).alias("taken"))
-    )
-    return sums_.join(goals.select("skey", "source_size", "target"), "skey").select("doc_id", "size", "source_size", "target", "taken", "source")
+    rows = pieces.join(taken_blocks, ["skey", "block"], "left").groupBy("skey", "part", "row", "row_hash", "doc_id", "source", "size").agg(F.sum(part).alias("taken"))
+    return rows, goals
+
 
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, block_words: int = 1024) -> DataFrame:
+    """docs(doc_id, source, text, ...) -> (doc_id, size, source_size, target, taken, source), a row for each row.
 
-def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    size: words of the text (null: 0). taken: the words of the document in the mix, repeats counted,
+    at most ``cap`` times its size. A null source is a source of its own, the last. Rows without words
+    take nothing; rows that repeat an id are documents of their own, next to each other on the line;
+    other columns only order rows of one id and size. An empty table, or one without words, gives targets of 0.
+    """
+    rows, goals = _taken(docs, weights, cap, block_words)
+    return rows.join(goals.select("skey", "source_size", "target"), "skey").select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, block_words: int = 1024) -> DataFrame:
     """docs as the mix has them: a row is repeated as often as the mix takes its words, to the nearest whole; all columns stay.
 
-    Rows of one id are matched in the order of their sizes and texts.
+    The mix takes whole documents but for one of each source, in which its line stops; so a source's words
+    are its target to within half of that document. Rows of which less than half is taken, and rows
+    without words, of which there is nothing to take, are not in the mix. A row is known by a hash of all its columns; rows that are equal
+    in all of them share what is taken of them, the first ones one copy more where it does not divide.
     """
+    rows, _ = _taken(docs, weights, cap, block_words)
     size, taken = F.col("size"), F.col("taken")
-    copies = F.when(size > 0, F.floor((taken + size / 2) / F.greatest(size, F.lit(1)))).otherwise(1).cast("int")
-    plan = (
-        mix(docs, **options).select("doc_id", F.struct("size", copies.alias("copies")).alias("c"))
-        .groupBy("doc_id").agg(F.sort_array(F.collect_list("c")).alias("plan")).withColumnRenamed("doc_id", "plan_id")
-    )
-    order = Window.partitionBy("doc_id").orderBy(word_count(F.col("text").cast("string")), "text")
-    ranked = docs.withColumn("_formloom_rank", F.row_number().over(order))
-    joined = ranked.join(plan, ranked["doc_id"].eqNullSafe(plan["plan_id"]))
-    times = F.element_at("plan", F.col("_formloom_rank"))["copies"]
-    return joined.withColumn("_formloom_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    copies = F.when(size > 0, F.floor((taken + size / 2) / F.greatest(size, F.lit(1)))).otherwise(0).cast("int")
+    keys = ["_formloom_source", "_formloom_hash"]
+    plan = rows.groupBy(F.col("skey").alias(keys[0]), F.col("row_hash").alias(keys[1])).agg(F.count("*").alias("_formloom_rows"), F.sum(copies).alias("_formloom_copies")).where("_formloom_copies > 0")
+    keyed = docs.select(_skey().alias(keys[0]), _row_hash(docs).alias(keys[1]), F.struct(*docs.columns).alias("_formloom_row"))
+    met = keyed.join(plan.hint("merge"), keys)
+    # equal rows in any order are the same table
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    n, total = F.col("_formloom_rows"), F.col("_formloom_copies")
+    times = F.floor(total / n) + F.when(rank <= total % n, 1).otherwise(0)
+    return met.withColumn("_formloom_times", times.cast("int")).select("_formloom_row", F.explode(F.array_repeat(F.lit(1), F.col("_formloom_times")))).select("_formloom_row.*")
