@@ -5,11 +5,16 @@ random projection, a leaf holds about ``leaf_rows`` of the sample. Vectors get o
 that makes their lengths equal, so that the nearest by angle is the largest by inner product.
 Index. Every row goes to one leaf of each tree.
 Search. A query walks all trees through one priority queue, ordered by the squared margins that a
-path lies on the wrong side of, until the leaves popped hold ``search_share`` of the rows. The sample's
-rows in those leaves give a bound, which candidates of the same leaves must reach.
-Rerank. Queries meet the rows of their leaves in blocks: leaves are cut into parts of ``part_rows``,
-queries into parts of ``query_rows``, whatever their numbers, and a block gives ``k`` rows a query at most.
-Scores are exact: double precision, on the original vectors.
+path lies on the wrong side of, until the leaves popped hold its budget of rows: ``search_share`` of
+the table, ``search_rows`` at least. The first ``bound_rows`` of the sample that lie in those leaves give a
+bound, which candidates of the same leaves must reach.
+Rerank. Leaves are dealt into blocks of about ``block_rows`` rows, a larger leaf into several. A query
+goes once to each block that has a leaf of its own, with the list of these leaves; there the rows of a
+block are held, the queries stream past them, and a query is scored against the rows of its leaves
+only. A block gives a query ``k`` rows at most. Scores are exact: double precision, original vectors.
+
+Exact search: with ``search_share`` = number of trees, all leaves are popped and the result is that
+of brute force.
 """
 
 from __future__ import annotations
@@ -19,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,16 +94,17 @@ class Forest:
                 heapq.heappush(queue, (off + m * m, t, int(far)))
             yield found
 
-    def bounds(self, q: np.ndarray, ids: np.ndarray, visits: list[list[tuple[int, int]]], k: int) -> np.ndarray:
-        """For each query the score of the k-th best of the sample's rows in its leaves; -inf if these are fewer."""
-        met = np.zeros((len(q), len(self.sample)), bool)
+    def bounds(self, q: np.ndarray, ids: np.ndarray, visits: list[list[tuple[int, int]]], k: int, bound_rows: int) -> np.ndarray:
+        """For each query the score of the k-th best of the sample's first bound_rows in its leaves; -inf if these are fewer."""
+        x, own_ids = self.sample[:bound_rows], self.sample_ids[:bound_rows]
+        met = np.zeros((len(q), len(x)), bool)
         for t, tree in enumerate(self.trees):
             seen = np.zeros((len(q), tree.leaves), bool)
             for i, v in enumerate(visits):
                 seen[i, [leaf for at, leaf in v if at == t]] = True
-            met |= seen[:, self.sample_leaves[t]]
-        score = np.where(met & (ids[:, None] != self.sample_ids), q @ self.sample.T, -np.inf)
-        score = _best_of_id(score, self.sample_ids)
+            met |= seen[:, self.sample_leaves[t][:bound_rows]]
+        score = np.where(met & (ids[:, None] != own_ids), q @ x.T, -np.inf)
+        score = _best_of_id(score, own_ids)
         if score.shape[1] < k:
             return np.full(len(q), -np.inf)
         best = -np.partition(-score, k - 1, axis=1)[:, k - 1]
@@ -144,38 +149,64 @@ def _best_of_id(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return score if len(first) + 1 >= len(ids) else np.maximum.reduceat(score[:, order], np.concatenate(([0], first)), axis=1)
 
 
-def best_pairs(x: np.ndarray, ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, row position, exact score) of the k best ids for each query that reach its bound, each at its best row."""
-    found = []
-    step = max(1, (1 << 20) // max(1, len(x)))
-    for at in range(0, len(q), step):
-        rough = q[at : at + step] @ x.T
-        rough[query_ids[at : at + step, None] == ids] = -np.inf
-        floor = bound[at : at + step].copy()
-        by_id = _best_of_id(rough, ids)
-        if by_id.shape[1] > k:
-            floor = np.maximum(floor, -np.partition(-by_id, k - 1, axis=1)[:, k - 1])
-        slack = _EPS * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)))
-        i, j = np.nonzero(rough >= (floor - slack)[:, None])
-        keep = np.isfinite(rough[i, j])
-        i, j = i[keep] + at, j[keep]
-        score = np.concatenate([(x[j[a : a + 65536]] * q[i[a : a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
-        order = np.lexsort((-score, ids[j], i))
-        i, j, score = i[order], j[order], score[order]
-        best = np.ones(len(i), bool)
-        best[1:] = (np.diff(i) != 0) | (np.diff(ids[j]) != 0)
-        i, j, score = i[best], j[best], score[best]
-        order = np.lexsort((ids[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        first = np.flatnonzero(np.diff(i, prepend=-1))
-        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
-        found.append((i[rank < k], j[rank < k], score[rank < k]))
-    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+def best_pairs(
+    x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, q: np.ndarray, query_ids: np.ndarray, asked: list[np.ndarray], bound: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, row position, exact score) of the k best ids for each query that reach its bound, each at its best row.
+
+    leaves: the leaf of each row, in order; asked: the leaves of each query. Other rows are not scored.
+    """
+    kinds, first = np.unique(leaves, return_index=True)
+    ends = np.append(first[1:], len(leaves))
+    wants = np.zeros((len(q), len(kinds)), bool)
+    for i, own in enumerate(asked):
+        wants[i] = np.isin(kinds, own, assume_unique=True)
+    rough = np.full((len(q), len(x)), -np.inf)
+    for j, (a, b) in enumerate(zip(first.tolist(), ends.tolist())):
+        who = np.flatnonzero(wants[:, j])
+        if len(who):
+            rough[who, a:b] = q[who] @ x[a:b].T
+    rough[query_ids[:, None] == ids] = -np.inf
+    floor = bound.copy()
+    by_id = _best_of_id(rough, ids)
+    if by_id.shape[1] > k:
+        floor = np.maximum(floor, -np.partition(-by_id, k - 1, axis=1)[:, k - 1])
+    slack = _EPS * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)))
+    i, j = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
+    score = np.concatenate([(x[j[a : a + 65536]] * q[i[a : a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
+    order = np.lexsort((-score, ids[j], i))
+    i, j, score = i[order], j[order], score[order]
+    best = np.ones(len(i), bool)
+    best[1:] = (np.diff(i) != 0) | (np.diff(ids[j]) != 0)
+    i, j, score = i[best], j[best], score[best]
+    order = np.lexsort((ids[j], -score, i))
+    i, j, score = i[order], j[order], score[order]
+    start = np.flatnonzero(np.diff(i, prepend=-1))
+    rank = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i))))
+    return i[rank < k], j[rank < k], score[rank < k]
+
+
+def _blocks(held: list[np.ndarray], block_rows: int) -> list[tuple[int, int, int, int]]:
+    """(tree, leaf, first block, blocks) of each leaf with rows: leaves fill blocks in turn, larger ones take several of their own."""
+    out, block, room = [], -1, 0
+    for t, own in enumerate(held):
+        room = 0
+        for leaf, n in enumerate(own.tolist()):
+            if n > block_rows:
+                parts = -(-n // block_rows)
+                out.append((t, leaf, block + 1, parts))
+                block, room = block + parts, 0
+            elif n:
+                if n > room:
+                    block, room = block + 1, block_rows
+                out.append((t, leaf, block, 1))
+                room -= n
+    return out
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 8, leaf_rows: int = 64, sample_rows: int = 16384,
-    search_share: float = 1.4, part_rows: int = 8192, query_rows: int = 4096, seed: int = 5,
+    vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 4, leaf_rows: int = 16, sample_rows: int = 16384,
+    search_share: float = 0.9, search_rows: int = 4096, bound_rows: int = 4096, block_rows: int = 4096, seed: int = 5,
 ) -> DataFrame:
     """vectors(vec_id, embedding), queries(vec_id, embedding) -> (query_id, rank, vec_id, score).
 
@@ -183,7 +214,8 @@ def nearest(
     there are fewer. A row is no neighbour of itself: rows with the query's vec_id are left out. Rows
     with a null id, and vectors that are null, zero, of another length than most, or hold null or
     non-finite components, take no part. Rows that repeat an id count once for a query, at their best
-    score. search_share sets the recall: vectors without structure need most of their leaves.
+    score. search_share and search_rows set the recall, see above; a row is counted in each tree, so
+    that at a share of 0.9 a query is scored against fewer rows than brute force scores.
     """
     spark = vectors.sparkSession
 
@@ -222,7 +254,12 @@ def nearest(
     held = [np.zeros(t.leaves, np.int64) for t in forest.trees]
     for r in counts:
         held[r.tree][r.leaf] = r["count"]
-    enough = max(float(k + 1), search_share * float(held[0].sum()))
+    # budgets count a row in each tree it is met in: the floor of search_rows is one of different rows
+    enough = max(float(trees * search_rows), search_share * float(held[0].sum()))
+    spots = _blocks(held, block_rows)
+    first, many = [np.full(t.leaves, -1, np.int64) for t in forest.trees], [np.zeros(t.leaves, np.int64) for t in forest.trees]
+    for t, leaf, block, n in spots:
+        first[t][leaf], many[t][leaf] = block, n
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = known.value
@@ -231,45 +268,66 @@ def nearest(
                 part = b.slice(at, 256)
                 ids, q = part.column(0).to_numpy(), _matrix(part.column(1), dims)
                 visits = list(f.leaves_for(q, held, enough))
-                bound = f.bounds(q, ids, visits, k)
-                who = np.repeat(np.arange(len(q)), [len(v) for v in visits])
-                tree, leaf = np.array([p for v in visits for p in v], np.int32).reshape(-1, 2).T
+                bound = f.bounds(q, ids, visits, k, bound_rows)
+                who, blocks, leaves = [], [], []
+                for i, own in enumerate(visits):
+                    by_block: dict[int, list[int]] = {}
+                    for t, leaf in own:
+                        for block in range(int(first[t][leaf]), int(first[t][leaf] + many[t][leaf])):
+                            by_block.setdefault(block, []).append(leaf)
+                    who += [i] * len(by_block)
+                    blocks += by_block.keys()
+                    leaves += by_block.values()
                 take = pa.array(who, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(tree, pa.int32()), pa.array(leaf, pa.int32()), pa.array(bound[who], pa.float64())],
-                    ["query_id", "q", "tree", "leaf", "bound"],
-                )
-
+                    [
+                        pa.array(blocks, pa.int32()), pa.array(np.ones(len(who), np.int8)), part.column(0).take(take), part.column(1).take(take),
+                        pa.array(leaves, pa.list_(pa.int32())), pa.array(bound[np.array(who, int)], pa.float64()),
+                    ],
+                    names,
+                )
+
+    names, kinds = ["block", "kind", "id", "v", "leaves", "bound"], "block int, kind tinyint, id long, v array<double>, leaves array<int>, bound double"
     spread = asked.repartition(spark.sparkContext.defaultParallelism * 2, "vec_id")
-    searched = spread.mapInArrow(search, "query_id long, q array<double>, tree int, leaf int, bound double")
-    query_parts = max(1, -(-asked.count() // query_rows))
-    parts = spark.createDataFrame(
-        [(t, leaf, int(-(-n // part_rows))) for t, own in enumerate(held) for leaf, n in enumerate(own.tolist()) if n] or [(0, 0, 1)],
-        "tree int, leaf int, parts int",
-    )
-    by = ["tree", "leaf", "part", "query_part"]
-    visited = (
-        searched.join(F.broadcast(parts), ["tree", "leaf"])
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("query_part", F.pmod(F.xxhash64("query_id"), F.lit(query_parts)).cast("int"))
-        .select(*by, "query_id", "q", "bound")
-    )
-    placed = (
-        index.select("vec_id", "v", F.posexplode("leaves").alias("tree", "leaf")).join(F.broadcast(parts), ["tree", "leaf"])
-        .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-        .withColumn("query_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
-        .select(*by, "vec_id", "v")
+    visiting = spread.mapInArrow(search, kinds)
+    # of one entry for each leaf: its size is that of the sample
+    placed = spark.createDataFrame(spots, "tree int, leaf int, first int, blocks int")
+    lying = (
+        index.select("vec_id", "v", F.posexplode("leaves").alias("tree", "leaf")).join(F.broadcast(placed), ["tree", "leaf"])
+        .select(
+            (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).cast("int").alias("block"), F.lit(0).cast("tinyint").alias("kind"), F.col("vec_id").alias("id"), "v",
+            F.array("leaf").alias("leaves"), F.lit(None).cast("double").alias("bound"),
+        )
     )
 
-    def rerank(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(asked):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        x, q = np.stack(rows["v"].to_numpy()), np.stack(asked["q"].to_numpy())
-        ids, query_ids = rows["vec_id"].to_numpy(np.int64), asked["query_id"].to_numpy(np.int64)
-        i, j, score = best_pairs(x, ids, q, query_ids, asked["bound"].to_numpy(np.float64), k)
-        return pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[j], "score": score})
-
-    met = placed.groupBy(*by).cogroup(visited.groupBy(*by)).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, got, ready = None, [], None
+        for b in batches:
+            block, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
+            edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+            for a, e in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
+                if block[a] != now:
+                    now, got, ready = block[a], [], None
+                if kind[a] == 0:
+                    got.append(b.slice(a, e - a))
+                    continue
+                if ready is None:  # the block's rows come before its queries
+                    if not got:
+                        continue
+                    leaf = np.concatenate([g.column(4).flatten().to_numpy() for g in got])
+                    by_leaf = np.argsort(leaf, kind="stable")
+                    ready = (
+                        np.concatenate([_matrix(g.column(3), dims) for g in got])[by_leaf], np.concatenate([g.column(2).to_numpy() for g in got])[by_leaf], leaf[by_leaf],
+                    )
+                    got = []
+                for at in range(a, e, 512):
+                    part = b.slice(at, min(512, e - at))
+                    ids, own = part.column(2).to_numpy(), [np.array(v) for v in part.column(4).to_pylist()]
+                    i, j, score = best_pairs(*ready, _matrix(part.column(3), dims), ids, own, part.column(5).to_numpy(), k)
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ready[1][j]), pa.array(score)], ["query_id", "vec_id", "score"])
+
+    met = lying.unionByName(visiting).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(rerank, "query_id long, vec_id long, score double")
     best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

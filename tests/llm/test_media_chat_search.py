@@ -99,7 +99,7 @@ def test_nearest(spark):
     rows += [(9000, None), (9020, [0.0] * 12), (9040, [float("nan")] * 12), (9060, [None] + [1.0] * 11), (9080, [1.0] * 3), (None, [1.0] * 12), (20, rows[20][1])]
     vectors = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, rank string")
     got = {}
-    for g in ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), part_rows=100, query_rows=40, sample_rows=700).collect():
+    for g in ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), block_rows=100, search_rows=0, sample_rows=700).collect():
         got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
     usable = {i: np.array(v) for i, v in rows if i is not None and v and len(v) == 12 and None not in v and np.isfinite(v).all() and any(v)}
     asked = [i for i in usable if i % 20 == 0]
@@ -127,27 +127,51 @@ def test_repeated_ids_count_once(spark):
     # id 1 is nearest, and fills a block: the same row over and over, and rows of its own
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1, x[1].tolist())] * 40 + [(1, (x[1] * (1 - i / 1000)).tolist()) for i in range(40)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = ann.nearest(vectors, vectors.where("vec_id = 0"), search_share=8.0, part_rows=1000).collect()
+    got = ann.nearest(vectors, vectors.where("vec_id = 0"), search_share=4.0, block_rows=1000).collect()
     score = x @ x[0]
     score[0] = -np.inf
     assert [g.vec_id for g in sorted(got, key=lambda g: g["rank"])] == np.argsort(-score)[:20].tolist()
 
 
-def test_recall_on_the_table(spark):
-    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = e.collect()
+def brute_nearest(ids, x, q, k=20):
+    s = x @ x[ids == q][0]
+    s[ids == q] = -np.inf
+    return ids[np.lexsort((ids, -s))[:k]].tolist()
+
+
+@pytest.mark.parametrize("path, every", [("sf0.1", 20), ("check_s", 400)])
+def test_recall_on_the_table(spark, path, every):
+    e = spark.read.parquet(f"/root/testdata/{path}/embeddings.parquet")
+    rows = e.where("embedding is not null").collect()
     x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
     got = {}
-    for g in ann.nearest(e, e.where("vec_id % 20 = 0")).collect():
+    for g in ann.nearest(e, e.where(f"vec_id % {every} = 0")).collect():
         got.setdefault(g.query_id, set()).add(g.vec_id)
-    hits = 0
-    for q, found in got.items():
-        s = x @ x[ids == q][0]
-        s[ids == q] = -np.inf
-        hits += len(found & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
+    hits = sum(len(found & set(brute_nearest(ids, x, q))) for q, found in got.items())
     assert hits >= 0.9 * 20 * len(got)
 
 
+def test_all_leaves_give_what_brute_force_gives(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(900, 16))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for g in ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), search_share=4.0, search_rows=0, block_rows=64, sample_rows=300).orderBy("query_id", "rank").collect():
+        got.setdefault(g.query_id, []).append(g.vec_id)
+    assert got == {q: brute_nearest(np.arange(900), x, q) for q in range(0, 900, 20)}
+
+
+def test_blocks_hold_each_leaf_once():
+    held = [np.array([3, 0, 9, 2, 25]), np.array([4, 4])]
+    spots = ann._blocks(held, 10)
+    assert [(t, leaf, n) for t, leaf, _, n in spots] == [(0, 0, 1), (0, 2, 1), (0, 3, 1), (0, 4, 3), (1, 0, 1), (1, 1, 1)]
+    load = {}
+    for t, leaf, first, n in spots:
+        for b in range(first, first + n):
+            load[b] = load.get(b, 0) + -(-int(held[t][leaf]) // n)
+    assert max(load.values()) <= 12 and len({(t, b) for t, _, first, n in spots for b in range(first, first + n)}) == len(load)
+
+
 def test_dated_lists(spark):
     day = lambda n: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
     entries = [("a", "deny", "example.com", day(10), "add"), ("a", "deny", "example.com", day(20), "remove"), ("a", "deny", "example.com", day(300), "add"), ("b", "allow", "good.example.com", day(0), "add"),
