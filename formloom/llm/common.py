@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -115,15 +113,3 @@ def drop_cut(df: DataFrame) -> None:
     if path:
         at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def forget_shuffles(spark: SparkSession, rounds: int = 3) -> None:
-    """Let the files of shuffles go that no DataFrame needs any more, before the next large one.
-
-    Spark deletes them once the driver's garbage collector has found their plans; the listeners
-    hold a plan for a moment after it ran, hence more than one round.
-    """
-    for _ in range(rounds):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(1)

@@ -1,12 +1,15 @@
 """Stupid-backoff scores of documents by the n-gram counts of all other documents.
 
-1. A scan cuts the documents into chunks of about ``chunk_chars``. For each order, a chunk's distinct
-   n-grams are exploded into rows of (hash bucket, chunk): the 64-bit hashes, sorted, and their counts
-   in the chunk, packed as columns of bytes. This is a map-side sum; a frequent n-gram is one entry of
-   a chunk, however often it occurs.
-2. Shuffled by hash bucket, the entries of a bucket are the count table of its n-grams; the table is
-   joined to the same entries, and each gets the count that the rest of the corpus has.
-3. The counts go back to their chunks, meet the chunk's documents, and are summed per document.
+1. The documents are cut into chunks of about ``chunk_chars``. Exploded n-grams are rows (hash, chunk,
+   count): the 64-bit hash of an n-gram, a chunk that has it, and how often. Counting within a chunk is
+   the map-side sum; a frequent n-gram is one row for each chunk, however often it occurs.
+2. Partitioned by hash, the rows are summed to the count table (hash, total) of the n-grams that more
+   than one chunk has, and joined to it: each row gets the count that the other chunks have. Both sides
+   are the same exchange. An n-gram of one chunk only needs no row: its chunk knows its count.
+3. The joined rows go back to their chunks and meet the documents there, whose scores are summed.
+
+The hash space is worked through in ``rounds`` equal ranges, and the chunks in as many groups: a round's
+rows are on disk only while it lasts, whatever the size of the input.
 
 A document's own occurrences are taken off every count, or every n-gram would be a known one. For a
 word w after u, v: c(uvw) / c(uv) if c(uvw) > 0; else alpha c(vw) / c(v) if c(vw) > 0; else alpha^2
@@ -22,28 +25,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut, forget_shuffles, word_count
+from formloom.llm.common import cut, drop_cut, is_scan, small_batches, word_count
 
 _U = np.uint64
-_GRAMS = "chunk bigint, n int, bucket int, size bigint, mark bigint, hashes binary, counts binary"
-_COUNTS = "chunk bigint, n int, bucket int, size bigint, mark bigint, others binary"
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Bytes of the same rank together: of sorted hashes the upper ones hardly change."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpack(data: bytes, kind: str, size: int) -> np.ndarray:
-    kind = np.dtype(kind)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=max(1, size * kind.itemsize)), np.uint8)
-    return np.ascontiguousarray(planes.reshape(kind.itemsize, size).T).view(kind).ravel()
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -82,32 +69,31 @@ class Grams:
         return spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
 
 
-def _chunked(batches: Iterator[pa.RecordBatch], text: int, chunk_chars: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """(chunk, its batches): the rows of this partition in order, cut where chunk_chars are reached."""
-    base, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """(chunk, its batches) of (block, doc_id, text): the rows of a block of a file in order, cut where chunk_chars are reached.
+
+    A chunk is named by a hash of its block and its number there, so it is the same whenever and wherever the block is read.
+    """
+    now, number, held, size = None, 0, [], 0
+
+    def name() -> int:
+        return int(np.int64(np.uint64(xxhash.xxh64_intdigest(f"{now}/{number}"))))
+
     for b in batches:
-        begin = 0
-        for i, n in enumerate(pc.fill_null(pc.binary_length(b.column(text)), 0).to_pylist()):
+        block, begin = b.column(0).to_numpy(), 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()):
+            if block[i] != now or size >= chunk_chars:
+                if i > begin:
+                    held.append(b.slice(begin, i - begin))
+                if held:
+                    yield name(), held
+                number = number + 1 if block[i] == now else 0
+                now, begin, held, size = block[i], i, [], 0
             size += n
-            if size >= chunk_chars:
-                held.append(b.slice(begin, i + 1 - begin))
-                yield base + number, held
-                begin, number, held, size = i + 1, number + 1, [], 0
         if begin < b.num_rows:
             held.append(b.slice(begin))
     if held:
-        yield base + number, held
-
-
-def _slices(hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
-    """(bucket, begin, end) of sorted hashes; the bucket is the upper bits."""
-    edges = np.searchsorted(hashes, (np.arange(1, 1 << bits, dtype=_U) << _U(64 - bits)) if bits else np.zeros(0, _U))
-    edges = np.concatenate(([0], edges, [len(hashes)]))
-    return [(k, int(a), int(b)) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-
-
-def _mark(hashes: np.ndarray) -> int:
-    return int(np.bitwise_xor.reduce(hashes).view(np.int64))
+        yield name(), held
 
 
 def score_texts(grams: Grams, others: list[np.ndarray], total_words: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
@@ -137,79 +123,58 @@ def score_texts(grams: Grams, others: list[np.ndarray], total_words: int, alpha:
     return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * (order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 8 << 20, bucket_chars: int = 16 << 20) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 8 << 20, rounds: int = 4) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, n_words, log_score, perplexity, seen), a row for each row.
 
     Words are lower-cased (A-Z) runs of non-space. log_score: the sum over the document's words of the
     natural logs of their scores; perplexity: exp(-log_score / n_words); seen: words that an
     n-gram of the full order served. Null texts and texts without words: 0 words, log_score 0, null
     perplexity. Rows that repeat an id are documents of their own. Other columns are ignored; an empty
-    table gives an empty result. docs must give the same rows in the same partitions when read twice,
-    as a scan of files does: a checksum for each chunk and bucket fails the job otherwise.
+    table gives an empty result. The texts are read several times: docs that are more than a scan of
+    files are written to the shared folder first. Two of n different n-grams share a hash with a chance of about n^2 / 2^65.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kind = dict(docs.dtypes)["doc_id"]
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()
-    bits, total_words = max(3, (size[0] // bucket_chars).bit_length()), int(size[1])
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, own in _chunked(batches, 1, chunk_chars):
-            grams = Grams([t for b in own for t in b.column(1).to_pylist()], order)
-            for n in range(1, order + 1):
-                _, hashes, _, counts = grams.kinds(n)
-                counts = counts.astype(np.uint32)
-                rows = [(chunk, n, k, b - a, _mark(hashes[a:b]), _pack(hashes[a:b]), _pack(counts[a:b])) for k, a, b in _slices(hashes, bits)]
-                if rows:
-                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["chunk", "n", "bucket", "size", "mark", "hashes", "counts"])
-
-    def count(table: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        for n in sorted(set(table.column("n").to_pylist())):
-            part = table.filter(pc.equal(table.column("n"), n))
-            sizes = part.column("size").to_pylist()
-            hashes = np.concatenate([_unpack(d, "<u8", s) for d, s in zip(part.column("hashes").to_pylist(), sizes)])
-            own = np.concatenate([_unpack(d, "<u4", s) for d, s in zip(part.column("counts").to_pylist(), sizes)]).astype(np.int64)
-            order_ = np.argsort(hashes, kind="stable")
-            ranked = hashes[order_]
-            first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            totals = np.add.reduceat(own[order_], first)
-            others = np.empty_like(own)
-            others[order_] = np.repeat(totals, np.diff(np.append(first, len(ranked))))
-            others -= own
-            at = 0
-            for chunk, bucket, s, mark in zip(part.column("chunk").to_pylist(), part.column("bucket").to_pylist(), sizes, part.column("mark").to_pylist()):
-                out.append((chunk, n, bucket, s, mark, _pack(others[at : at + s])))
-                at += s
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        cols = list(zip(*out)) if out else [[]] * 6
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["chunk", "n", "bucket", "size", "mark", "others"])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, own in _chunked(batches, 1, chunk_chars):
-            at = 0
-            for b in own:
-                if b.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(b.num_rows, chunk), pa.int64()), pa.array(np.arange(at, at + b.num_rows), pa.int64()), b.column(0), b.column(1)],
-                        ["chunk", "spot", "doc_id", "text"],
-                    )
-                    at += b.num_rows
+    plain = plain if is_scan(plain) else cut(plain, "texts")
+    blocks = plain.select(F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"), "doc_id", "text")
+    total_words = int(plain.agg(F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()[0])
+
+    def exploded(part: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk, own in _chunked(batches, chunk_chars):
+                grams = Grams([t for b in own for t in b.column(2).to_pylist()], order)
+                for n in range(1, order + 1):
+                    hashes = grams.hashes[n - 1][grams.at >= n - 1]
+                    hashes, counts = np.unique(hashes[hashes % _U(rounds) == _U(part)], return_counts=True)
+                    for at in range(0, len(hashes), 65536):
+                        some = hashes[at : at + 65536].view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(some), pa.array(np.full(len(some), chunk)), pa.array(counts[at : at + 65536].astype(np.int64))], ["hash", "chunk", "n"]
+                        )
+
+        return blocks.mapInArrow(run, "hash bigint, chunk bigint, n bigint").repartition("hash")
+
+    def joined(part: int) -> DataFrame:
+        grams = exploded(part)
+        totals = (
+            grams.groupBy("hash").agg(F.sum("n").alias("total"), F.min("chunk").alias("one"), F.max("chunk").alias("other"))
+            .where("one < other").select("hash", "total")
+        )
+        return grams.join(totals.hint("merge"), "hash").select("chunk", "hash", (F.col("total") - F.col("n")).alias("others"))
 
     def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
         rows = rows.sort_by("spot")
         grams = Grams(rows.column("text").to_pylist(), order)
-        counts = counts.sort_by([("n", "ascending"), ("bucket", "ascending")])
+        known = counts.column("hash").to_numpy().view(_U)
+        by_hash = np.argsort(known)
+        known, found = known[by_hash], counts.column("others").to_numpy()[by_hash]
         others = []
         for n in range(1, order + 1):
-            part = counts.filter(pc.equal(counts.column("n"), n))
             hashes = grams.kinds(n)[1]
-            sent = list(zip(part.column("bucket").to_pylist(), part.column("size").to_pylist(), part.column("mark").to_pylist()))
-            if sent != [(k, b - a, _mark(hashes[a:b])) for k, a, b in _slices(hashes, bits)]:
-                raise RuntimeError("the documents of a chunk changed between two reads")
-            got = [_unpack(d, "<i8", s) for d, (_, s, _) in zip(part.column("others").to_pylist(), sent)]
-            others.append(np.concatenate(got) if got else np.zeros(0, np.int64))
+            at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+            others.append(np.where(known[at] == hashes, found[at], 0) if len(known) else np.zeros(len(hashes), np.int64))
         log, served = score_texts(grams, others, total_words, alpha)
         words = grams.counts
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
@@ -219,11 +184,31 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
             ["doc_id", "n_words", "log_score", "perplexity", "seen"],
         )
 
-    entries = plain.mapInArrow(explode, _GRAMS)
-    counts = cut(entries.groupBy("bucket").applyInArrow(count, _COUNTS), "counts")
-    del entries
-    forget_shuffles(spark)  # the first is read for good, and the second carries the texts
-    placed = plain.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
-    return placed.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
-        score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint"
-    )
+    def scored(part: int, counts: DataFrame) -> DataFrame:
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk, own in _chunked(batches, chunk_chars):
+                at = 0
+                for b in own if chunk % rounds == part else ():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(b.num_rows, chunk), pa.int64()), pa.array(np.arange(at, at + b.num_rows), pa.int64()), b.column(1), b.column(2)],
+                        ["chunk", "spot", "doc_id", "text"],
+                    )
+                    at += b.num_rows
+
+        here = blocks.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
+        met = counts.where(F.pmod("chunk", F.lit(rounds)) == part)
+        return here.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(
+            score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint"
+        )
+
+    tables = [cut(joined(part), "counts") for part in range(rounds)]
+    counts = tables[0]
+    for more in tables[1:]:
+        counts = counts.unionByName(more)
+    done = [cut(scored(part, counts), "scores") for part in range(rounds)]
+    for t in tables:
+        drop_cut(t)
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
