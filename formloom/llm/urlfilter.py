@@ -1,11 +1,13 @@
 """URL filters by dated lists: every capture against the entries active when it was fetched.
 
 Entries say from when a list holds a pattern and from when it does not. They become validity
-intervals [valid_from, valid_to), disjoint for each list and pattern. The as-of join deals intervals
-and captures to time buckets and meets them by pattern, bucket and salt, with the times as the
-remaining condition: each capture finds, for each pattern of its URL, the interval it lies in.
+intervals [valid_from, valid_to), disjoint for each list and pattern. The as-of join meets captures and
+intervals by pattern, with the times as a condition of the join: each capture finds, for each pattern of
+its URL, the intervals it lies in. No interval is copied. A pattern that a third of all captures have is a
+skewed key of a merge join, whose captures Spark deals to several tasks, each with the pattern's intervals.
 A pattern is a domain (``example.com``: the host and all below it) or a domain with a path
-(``example.com/a``: what lies at or below that path on just that host).
+(``example.com/a``: what lies at or below that path on just that host). Patterns are normalised as URLs
+are: scheme, user, port, query, fragment, ``*.`` before and dots and slashes at the end make no difference.
 """
 
 from __future__ import annotations
@@ -25,13 +27,25 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[^:]+://[^/?#]*(/[^?#]*)", 1)
 
 
+def _segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda p: p != "")
+
+
+def pattern_of(written: Column) -> Column:
+    """A list's pattern in its one form, host/segment/segment in lower case; null where it has no host."""
+    bare = F.regexp_replace(F.lower(F.trim(written)), r"^[a-z][a-z0-9+.\-]*://", "")
+    bare = F.regexp_extract(F.regexp_replace(bare, r"^[^/?#@]*@", ""), r"^([^?#]*)", 1)
+    host = F.regexp_replace(F.regexp_replace(F.regexp_extract(bare, r"^([^/:]*)", 1), r"^(\*?\.)+", ""), r"\.+$", "")
+    return F.when((host != "") & (host != "*"), F.array_join(F.concat(F.array(host), _segments(F.regexp_extract(bare, r"^[^/]*(/.*)$", 1))), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """entries(list, verdict, pattern, since, action) -> (list, verdict, pattern, valid_from, valid_to).
 
     action is ``add`` or ``remove``. Of entries for one list and pattern at one time, a removal wins;
-    repeated entries change nothing. Rows with a null in any of the five columns are ignored.
+    repeated entries change nothing. Rows with a null in any of the five columns, or a pattern without a host, are ignored.
     """
-    known = entries.select("list", "verdict", F.lower("pattern").alias("pattern"), "since", "action").dropna()
+    known = entries.select("list", "verdict", pattern_of(F.col("pattern")).alias("pattern"), "since", "action").dropna()
     one = known.groupBy("list", "pattern", "since").agg(F.max(F.struct("action", "verdict")).alias("x"))
     order = Window.partitionBy("list", "pattern").orderBy("since")
     return (
@@ -40,7 +54,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
-def filter_captures(captures: DataFrame, entries: DataFrame, bucket_days: int = 30, salts: int = 32) -> DataFrame:
+def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """captures(page_id, url, fetched_at, ...) -> a row for each row, with
     (page_id, url, fetched_at, host, denied_by, allowed_by, verdict).
 
@@ -54,28 +68,17 @@ def filter_captures(captures: DataFrame, entries: DataFrame, bucket_days: int =
     # no pattern has more parts than the longest of the lists: longer keys of a URL could meet nothing
     deepest = spans.agg(F.max(F.size(F.split("pattern", r"[./]")))).first()[0] or 0
     labels, host = F.split("host", r"\."), F.col("host")
-    parts = F.slice(F.filter(F.split(path_of(F.col("url")), "/"), lambda p: p != ""), 1, max(1, deepest))
+    parts = F.slice(_segments(path_of(F.col("url"))), 1, max(1, deepest))
     domains = F.transform(
         F.sequence(F.greatest(F.lit(1), F.size(labels) - max(0, deepest - 1)), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
     prefixes = F.when(
         F.size(parts) > 0, F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(host, F.lit("/"), F.lower(F.array_join(F.slice(parts, 1, i), "/"))))
     ).otherwise(F.array().cast("array<string>"))
-    day = lambda c: F.floor(F.unix_timestamp(c) / (86400 * bucket_days)).cast("int")
     distinct = rows.select("url", "fetched_at", "host").where("host is not null and fetched_at is not null").distinct()
-    keys = distinct.select(
-        "url", "fetched_at", F.explode(F.array_distinct(F.concat(domains, prefixes))).alias("pattern"), day(F.col("fetched_at")).alias("bucket"),
-        F.pmod(F.xxhash64("url", "fetched_at"), F.lit(salts)).cast("int").alias("salt"),
-    )
-    # an open interval ends with the last capture
-    end = distinct.agg(F.max("fetched_at")).first()[0]
-    last = F.least(F.coalesce(F.col("valid_to"), F.lit(end)), F.lit(end))
-    dealt = (
-        spans.where(F.col("valid_from") <= F.lit(end)).withColumn("bucket", F.explode(F.sequence(day(F.col("valid_from")), day(last))))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
+    keys = distinct.select("url", "fetched_at", F.explode(F.array_distinct(F.concat(domains, prefixes))).alias("pattern"))
     inside = (F.col("fetched_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
-    met = keys.join(dealt, ["pattern", "bucket", "salt"]).where(inside)
+    met = keys.join(spans.withColumnRenamed("pattern", "listed").hint("merge"), (F.col("pattern") == F.col("listed")) & inside)
     names = lambda verdict: F.array_join(F.sort_array(F.collect_set(F.when(F.col("verdict") == verdict, F.col("list")))), ",")
     hits = met.groupBy("url", "fetched_at").agg(names("deny").alias("denied_by"), names("allow").alias("allowed_by"))
     out = rows.join(hits, ["url", "fetched_at"], "left")
