@@ -1,8 +1,9 @@
 """Conflict-constrained best-fit packing of documents into sequences of a fixed number of words.
 
 Documents are dealt by the hash of their id into shards of about ``shard_docs``, which are packed
-apart: a task holds the sizes, sources and clusters of one shard, never texts. Within a shard,
-larger pieces go first. Bins are kept by what is left in them; each carries a bitmap of its sources
+apart: a task holds the sizes, sources and clusters of one shard, never texts, and as many tasks work
+as there are shards. No bin crosses a shard; on 10,000 documents that takes 1973 bins where one shard
+takes 1963 and their words fill 1960. Within a shard, larger pieces go first. Bins are kept by what is left in them; each carries a bitmap of its sources
 and one of its duplicate clusters. A piece takes the bin with the least room that holds it and is
 compatible: the cluster's bit is clear, and its source is in the bin or the bin has fewer than
 ``max_sources`` sources. A bin that is not compatible sends the search on to the next, in the order
@@ -93,7 +94,7 @@ def items(docs: DataFrame) -> DataFrame:
     return sized.withColumn("cluster", F.when(F.col("n_words") > 0, F.col("cluster")))
 
 
-def pack(rows: DataFrame, n_rows: int, capacity: int = 2048, max_sources: int = 4, shard_docs: int = 8192) -> DataFrame:
+def pack(rows: DataFrame, n_rows: int, capacity: int = 2048, max_sources: int = 4, shard_docs: int = 2048) -> DataFrame:
     """rows(doc_id, n_words, source, cluster) -> a row for each piece of each row.
 
     (shard, bin, doc_id, piece, start_word, n_words, bin_offset, bin_words, source, cluster): words
@@ -105,7 +106,9 @@ def pack(rows: DataFrame, n_rows: int, capacity: int = 2048, max_sources: int =
     """
     shards = max(1, -(-n_rows // shard_docs))
     kind = dict(rows.dtypes)["doc_id"]
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(11)), F.lit(shards)).cast("int"))
+    # rows without an id and without words would all be dealt alike
+    salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(11), salt), F.lit(shards)).cast("int"))
     # nullable ids and clusters must not become floats on their way through pandas
     ids = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("cluster", F.col("cluster").cast("string"))
 
