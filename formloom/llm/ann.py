@@ -6,12 +6,13 @@ that makes their lengths equal, so that the nearest by angle is the largest by i
 Index. Every row goes to one leaf of each tree.
 Search. A query walks all trees through one priority queue, ordered by the squared margins that a
 path lies on the wrong side of, until the leaves popped hold its budget of rows: ``search_share`` of
-the table, ``search_rows`` at least. The first ``bound_rows`` of the sample that lie in those leaves give a
-bound, which candidates of the same leaves must reach.
+the table, ``search_rows`` at least. The rows of the sample that lie in those leaves give a bound, which
+candidates of the same leaves must reach.
 Rerank. Leaves are dealt into blocks of about ``block_rows`` rows, a larger leaf into several. A query
-goes once to each block that has a leaf of its own, with the list of these leaves; there the rows of a
+goes once to each block that has a leaf of its own, with a bitmap of its leaves; there the rows of a
 block are held, the queries stream past them, and a query is scored against the rows of its leaves
-only. A block gives a query ``k`` rows at most. Scores are exact: double precision, original vectors.
+only. A row that it has met in an earlier tree is passed over, and a block gives a query ``k`` rows at
+most. Scores are exact: double precision, original vectors.
 
 Exact search: with ``search_share`` = number of trees, all leaves are popped and the result is that
 of brute force.
@@ -94,17 +95,21 @@ class Forest:
                 heapq.heappush(queue, (off + m * m, t, int(far)))
             yield found
 
-    def bounds(self, q: np.ndarray, ids: np.ndarray, visits: list[list[tuple[int, int]]], k: int, bound_rows: int) -> np.ndarray:
-        """For each query the score of the k-th best of the sample's first bound_rows in its leaves; -inf if these are fewer."""
-        x, own_ids = self.sample[:bound_rows], self.sample_ids[:bound_rows]
-        met = np.zeros((len(q), len(x)), bool)
-        for t, tree in enumerate(self.trees):
-            seen = np.zeros((len(q), tree.leaves), bool)
-            for i, v in enumerate(visits):
-                seen[i, [leaf for at, leaf in v if at == t]] = True
-            met |= seen[:, self.sample_leaves[t][:bound_rows]]
-        score = np.where(met & (ids[:, None] != own_ids), q @ x.T, -np.inf)
-        score = _best_of_id(score, own_ids)
+    def bitmaps(self, visits: list[list[tuple[int, int]]]) -> list[np.ndarray]:
+        """For each tree which queries search which of its leaves."""
+        out = [np.zeros((len(visits), t.leaves), bool) for t in self.trees]
+        for i, v in enumerate(visits):
+            for t, leaf in v:
+                out[t][i, leaf] = True
+        return out
+
+    def bounds(self, q: np.ndarray, ids: np.ndarray, seen: list[np.ndarray], k: int) -> np.ndarray:
+        """For each query the score of the k-th best of the sample's rows in its leaves; -inf if these are fewer."""
+        met = np.zeros((len(q), len(self.sample)), bool)
+        for own, leaves in zip(seen, self.sample_leaves):
+            met |= own[:, leaves]
+        score = np.where(met & (ids[:, None] != self.sample_ids), q @ self.sample.T, -np.inf)
+        score = _best_of_id(score, self.sample_ids)
         if score.shape[1] < k:
             return np.full(len(q), -np.inf)
         best = -np.partition(-score, k - 1, axis=1)[:, k - 1]
@@ -150,22 +155,21 @@ def _best_of_id(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def best_pairs(
-    x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, q: np.ndarray, query_ids: np.ndarray, asked: list[np.ndarray], bound: np.ndarray, k: int
+    x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, tree: int, q: np.ndarray, query_ids: np.ndarray, seen: list[np.ndarray], bound: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, row position, exact score) of the k best ids for each query that reach its bound, each at its best row.
 
-    leaves: the leaf of each row, in order; asked: the leaves of each query. Other rows are not scored.
+    The rows lie in the order of their leaves in the tree; leaves (rows, trees); seen: for each tree the leaves of each
+    query. Rows of other leaves are not scored, and rows that a query meets in an earlier tree are not counted.
     """
-    kinds, first = np.unique(leaves, return_index=True)
-    ends = np.append(first[1:], len(leaves))
-    wants = np.zeros((len(q), len(kinds)), bool)
-    for i, own in enumerate(asked):
-        wants[i] = np.isin(kinds, own, assume_unique=True)
+    kinds, first = np.unique(leaves[:, tree], return_index=True)
     rough = np.full((len(q), len(x)), -np.inf)
-    for j, (a, b) in enumerate(zip(first.tolist(), ends.tolist())):
-        who = np.flatnonzero(wants[:, j])
+    for leaf, a, b in zip(kinds.tolist(), first.tolist(), [*first[1:].tolist(), len(x)]):
+        who = np.flatnonzero(seen[tree][:, leaf])
         if len(who):
             rough[who, a:b] = q[who] @ x[a:b].T
+    for t in range(tree):
+        rough[seen[t][:, leaves[:, t]]] = -np.inf
     rough[query_ids[:, None] == ids] = -np.inf
     floor = bound.copy()
     by_id = _best_of_id(rough, ids)
@@ -206,7 +210,7 @@ def _blocks(held: list[np.ndarray], block_rows: int) -> list[tuple[int, int, int
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 4, leaf_rows: int = 16, sample_rows: int = 16384,
-    search_share: float = 0.9, search_rows: int = 4096, bound_rows: int = 4096, block_rows: int = 4096, seed: int = 5,
+    search_share: float = 0.9, search_rows: int = 4096, block_rows: int = 4096, seed: int = 5,
 ) -> DataFrame:
     """vectors(vec_id, embedding), queries(vec_id, embedding) -> (query_id, rank, vec_id, score).
 
@@ -268,62 +272,62 @@ def nearest(
                 part = b.slice(at, 256)
                 ids, q = part.column(0).to_numpy(), _matrix(part.column(1), dims)
                 visits = list(f.leaves_for(q, held, enough))
-                bound = f.bounds(q, ids, visits, k, bound_rows)
-                who, blocks, leaves = [], [], []
-                for i, own in enumerate(visits):
-                    by_block: dict[int, list[int]] = {}
-                    for t, leaf in own:
-                        for block in range(int(first[t][leaf]), int(first[t][leaf] + many[t][leaf])):
-                            by_block.setdefault(block, []).append(leaf)
-                    who += [i] * len(by_block)
-                    blocks += by_block.keys()
-                    leaves += by_block.values()
+                seen = f.bitmaps(visits)
+                bound = f.bounds(q, ids, seen, k)
+                bits = [r.tobytes() for r in np.packbits(np.concatenate(seen, axis=1), axis=1)]
+                to = [sorted({block for t, leaf in own for block in range(int(first[t][leaf]), int(first[t][leaf] + many[t][leaf]))}) for own in visits]
+                who = np.repeat(np.arange(len(q)), [len(x) for x in to])
                 take = pa.array(who, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(blocks, pa.int32()), pa.array(np.ones(len(who), np.int8)), part.column(0).take(take), part.column(1).take(take),
-                        pa.array(leaves, pa.list_(pa.int32())), pa.array(bound[np.array(who, int)], pa.float64()),
+                        pa.array(np.array([x for own in to for x in own], np.int32)), pa.array(np.ones(len(who), np.int8)), part.column(0).take(take), part.column(1).take(take),
+                        pa.nulls(len(who), pa.list_(pa.int32())), pa.array(bits, pa.binary()).take(take), pa.array(bound[who], pa.float64()),
                     ],
                     names,
                 )
 
-    names, kinds = ["block", "kind", "id", "v", "leaves", "bound"], "block int, kind tinyint, id long, v array<double>, leaves array<int>, bound double"
+    names = ["block", "kind", "id", "v", "leaves", "seen", "bound"]
+    kinds = "block int, kind tinyint, id long, v array<double>, leaves array<int>, seen binary, bound double"
     spread = asked.repartition(spark.sparkContext.defaultParallelism * 2, "vec_id")
     visiting = spread.mapInArrow(search, kinds)
     # of one entry for each leaf: its size is that of the sample
     placed = spark.createDataFrame(spots, "tree int, leaf int, first int, blocks int")
     lying = (
-        index.select("vec_id", "v", F.posexplode("leaves").alias("tree", "leaf")).join(F.broadcast(placed), ["tree", "leaf"])
+        index.select("vec_id", "v", "leaves", F.posexplode("leaves").alias("tree", "leaf")).join(F.broadcast(placed), ["tree", "leaf"])
         .select(
             (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).cast("int").alias("block"), F.lit(0).cast("tinyint").alias("kind"), F.col("vec_id").alias("id"), "v",
-            F.array("leaf").alias("leaves"), F.lit(None).cast("double").alias("bound"),
+            "leaves", F.lit(None).cast("binary").alias("seen"), F.lit(None).cast("double").alias("bound"),
         )
     )
 
+    tree_of = np.zeros(max((f + n for _, _, f, n in spots), default=1), np.int64)
+    for t, _, at, n in spots:
+        tree_of[at : at + n] = t
+    edges = np.cumsum([t.leaves for t in forest.trees])
+
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, got, ready = None, [], None
         for b in batches:
             block, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
-            edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
-            for a, e in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
+            turns = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+            for a, e in zip([0, *turns.tolist()], [*turns.tolist(), b.num_rows]):
                 if block[a] != now:
                     now, got, ready = block[a], [], None
                 if kind[a] == 0:
                     got.append(b.slice(a, e - a))
                     continue
+                tree = int(tree_of[now])
                 if ready is None:  # the block's rows come before its queries
-                    if not got:
-                        continue
-                    leaf = np.concatenate([g.column(4).flatten().to_numpy() for g in got])
-                    by_leaf = np.argsort(leaf, kind="stable")
-                    ready = (
-                        np.concatenate([_matrix(g.column(3), dims) for g in got])[by_leaf], np.concatenate([g.column(2).to_numpy() for g in got])[by_leaf], leaf[by_leaf],
-                    )
+                    leaves = np.concatenate([g.column(4).flatten().to_numpy() for g in got]).reshape(-1, len(edges))
+                    order = np.argsort(leaves[:, tree], kind="stable")
+                    ready = np.concatenate([_matrix(g.column(3), dims) for g in got])[order], np.concatenate([g.column(2).to_numpy() for g in got])[order], leaves[order]
                     got = []
                 for at in range(a, e, 512):
                     part = b.slice(at, min(512, e - at))
-                    ids, own = part.column(2).to_numpy(), [np.array(v) for v in part.column(4).to_pylist()]
-                    i, j, score = best_pairs(*ready, _matrix(part.column(3), dims), ids, own, part.column(5).to_numpy(), k)
+                    bits = np.frombuffer(b"".join(part.column(5).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                    seen = np.split(np.unpackbits(bits, axis=1, count=int(edges[-1])).astype(bool), edges[:-1], axis=1)
+                    ids = part.column(2).to_numpy()
+                    i, j, score = best_pairs(*ready, tree, _matrix(part.column(3), dims), ids, seen, part.column(6).to_numpy(), k)
                     if len(i):
                         yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ready[1][j]), pa.array(score)], ["query_id", "vec_id", "score"])
 
