@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formloom.functions.dictionary import EXACT, FOLDED
@@ -12,6 +12,12 @@ def _side(spark, pairs: dict[str, str], key: str, value: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(list(pairs.items()), f"{key} string, {value} string"))  # tens of rows, fixed
 
 
+def replacement(text: Column) -> Column:
+    """What the dictionaries have for a text, or null: for texts inside arrays, where no join reaches."""
+    table = lambda pairs: F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair))
+    return F.coalesce(F.try_element_at(table(EXACT), text), F.try_element_at(table(FOLDED), F.lower(text)))
+
+
 def correct(detections: DataFrame, column: str = "text") -> DataFrame:
     """Adds original_text (null where nothing matched) and corrected; the column holds the replacement.
 

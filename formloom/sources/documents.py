@@ -44,7 +44,10 @@ def detections(docs: DataFrame, by_region: bool = True) -> DataFrame:
     size = [page_width(F.col("document_info.image_width")).alias("width"), page_height(F.col("document_info.image_height")).alias("height")]
     good = docs.where("status = 'ok'").select(F.col("file_name").alias("doc_id"), *size, "text_regions", "ocr_results_by_region")
     if by_region:
-        one = good.select("doc_id", "width", "height", F.explode("ocr_results_by_region").alias("region_id", "ds")).select("*", F.posexplode("ds").alias("det_idx", "d"))
+        # regions in the order of their names, so that the number of a detection is one for the whole document
+        regions = F.array_sort(F.map_entries("ocr_results_by_region"), lambda a, b: F.when(a.key < b.key, -1).when(a.key > b.key, 1).otherwise(0))
+        named = F.flatten(F.transform(regions, lambda r: F.transform(r.value, lambda d: F.struct(r.key.alias("region_id"), d.alias("d")))))
+        one = good.select("doc_id", "width", "height", F.posexplode(named).alias("det_idx", "x")).select("doc_id", "width", "height", "det_idx", "x.region_id", "x.d")
     else:
         one = good.select("doc_id", "width", "height", F.posexplode("text_regions").alias("det_idx", "d")).withColumn("region_id", F.col("d.region_id"))
     return one.select("doc_id", "det_idx", *_flat(F.col("d"), None), "region_id", "width", "height")
@@ -54,3 +57,14 @@ def cells(docs: DataFrame, region: str = "defects") -> DataFrame:
     """Cells of recognised grids: (doc_id, row_idx, col_idx, text, confidence)."""
     found = docs.where("status = 'ok'").select(F.col("file_name").alias("doc_id"), F.explode(F.try_element_at("table_data_by_region", F.lit(region)).cells).alias("c"))
     return found.select("doc_id", "c.row_idx", "c.col_idx", "c.text", "c.confidence")
+
+
+FIELD = "struct<value:string,confidence:double,source:string,corrected:boolean>"
+
+
+def header_files(spark: SparkSession, path: str, names: list[str], drop: str = "-data") -> DataFrame:
+    """Extracted documents read back: (doc_id, a field for each of names); a file that is no document, or has no header, gives nulls."""
+    schema = f"header struct<{','.join(f'{n}:{FIELD}' for n in names)}>, _corrupt_record string"
+    read = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    stem = F.regexp_replace(F.col("_metadata.file_name"), f"{drop}[.]json$", "")
+    return read.select(stem.alias("doc_id"), *(F.col(f"header.{n}").alias(n) for n in names))

@@ -31,6 +31,26 @@ def box_sum(image: np.ndarray, size: int) -> np.ndarray:
     return total[size : size + h, size : size + w] - total[:h, size : size + w] - total[size : size + h, :w] + total[:h, :w]
 
 
+def gaussian(image: np.ndarray, size: int) -> np.ndarray:
+    """A Gaussian average over a square, edges repeated; the width follows the size."""
+    sigma = 0.3 * ((size - 1) * 0.5 - 1) + 0.8
+    at = np.arange(size) - size // 2
+    weight = np.exp(-(at**2) / (2 * sigma**2))
+    weight /= weight.sum()
+    out = image.astype(np.float64)
+    for axis in (0, 1):
+        pad = [(0, 0), (0, 0)]
+        pad[axis] = (size // 2, size // 2)
+        p = np.pad(out, pad, mode="edge")
+        out = sum(w * np.take(p, range(k, k + out.shape[axis]), axis=axis) for k, w in enumerate(weight))
+    return out
+
+
+def opened(mask: np.ndarray, size: int = 3) -> np.ndarray:
+    """Without what is thinner than a square."""
+    return dilate(~dilate(~mask, size), size)
+
+
 def adaptive_ink(image: np.ndarray, size: int, c: int) -> np.ndarray:
     """True where a pixel is darker than the mean around it, less c."""
     return image.astype(np.float64) <= np.rint(box_sum(image, size) / (size * size)) - c

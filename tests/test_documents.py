@@ -129,13 +129,48 @@ def test_pipeline_over_files(spark, folder):
     assert pipeline.extract(D.detections(docs), D.cells(docs), prefer_table=False).first().defects == []
 
 
-def test_command_line(spark, folder):
-    assert cli.main(["--batch", str(folder / "in"), "--output", str(folder / "out")]) == 1  # a file is broken
-    totals = spark.read.json(str(folder / "out/batch/summary")).first().batch_summary
-    assert (totals.total_files, totals.successful, totals.failed) == (3, 1, 2)
-    assert spark.read.json(str(folder / "out/data")).count() == 1
+def test_command_line(spark, folder, monkeypatch):
+    monkeypatch.setenv("LOG_DIR", str(folder / "logs"))
+    out = folder / "out"
+    assert cli.main(["--batch", str(folder / "in"), "--output", str(out)]) == 1  # a file is broken
+    (found,) = out.glob("batch_summary_*.json")
+    summary = json.loads(found.read_text())
+    assert {k: summary["batch_info"][k] for k in ("total_files", "successful", "failed")} == {"total_files": 3, "successful": 1, "failed": 2}
+    files = {f["doc_id"]: f for f in summary["file_results"]}
+    assert files["good-texts.json"]["required_fields"]["act_number"]["value"] == "057/25" and files["bad-texts.json"]["error"] == "Invalid JSON"
+    assert files["bad-texts.json"]["required_fields"]["act_number"] == {"value": None, "confidence": 0.0, "suspicious": False}
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith("batch")) == ["good-corrected.json", "good-data.json"]
+    fixed = json.loads((out / "good-corrected.json").read_text())
+    assert [d["text"] for d in fixed["ocr_results_by_region"]["header"]] == ["Номер", "057I25", "Дата"] and fixed["table_data_by_region"]["defects"]["cells"]
+    assert json.loads((out / "good-data.json").read_text())["header"]["act_number"]["value"] == "057/25"
     assert cli.main(["--file", str(folder / "in/good-texts.json"), "--output", str(folder / "out2"), "--mode", "correction"]) == 0
     assert cli.main(["--batch", str(folder / "nothing")]) == 1 and cli.main([]) == 0
+    assert cli.main(["--batch", str(folder / "in"), "--mode", "ocr", "--output", str(folder / "out3")]) == 1
+    assert "no page images" in (folder / "logs" / "formloom.log").read_text()
+
+
+def test_corrected_file_holds_flat_and_region_texts(spark, folder):
+    doc = document([("Homep", 0.9, 10, 10)])
+    doc["text_regions"] = [{"text": t, "confidence": c, "bbox": [[0, 0], [4, 0], [4, 4], [0, 4]], "center": [2, 2]} for t, c in (("Homep", 0.9), ("", 0.9), ("12", 0.2))]
+    (folder / "in" / "one-texts.json").write_text(json.dumps(doc))
+    docs = D.documents(spark, str(folder / "in/one-texts.json"))
+    from formloom.plans import assemble
+
+    row = assemble.validated(assemble.corrected(docs)).first()
+    assert [(d.text, d.corrected, d.original_text) for d in row.text_regions] == [("Номер", True, "Homep"), ("", False, None), ("12", False, None)]
+    assert row.ocr_results_by_region["header"][0].text == "Номер" and row.corrections_applied["count"] == 1  # the map is corrected, its texts are not logged
+    log = row.corrections_applied.corrections[0]
+    assert (log["index"], log.original, log.corrected, log.position) == (0, "Homep", "Номер", [2, 2])
+    v = row.validation_results
+    assert (v.total_fields, v.validated_fields, v.failed_validations, [w["index"] for w in v.low_confidence_warnings]) == (3, 2, 0, [2])
+
+
+def test_numbers_of_detections_run_through_all_regions(spark, folder):
+    doc = document([("a", 0.9, 1, 1), ("b", 0.9, 1, 1)])
+    doc["ocr_results_by_region"]["analysis"] = [{"text": "c", "confidence": 0.5, "bbox": [[0, 0], [1, 1]], "center": [0, 0]}]
+    (folder / "in" / "two-texts.json").write_text(json.dumps(doc))
+    rows = D.detections(D.documents(spark, str(folder / "in/two-texts.json"))).orderBy("det_idx").collect()
+    assert [(r.det_idx, r.region_id, r.text) for r in rows] == [(0, "analysis", "c"), (1, "header", "a"), (2, "header", "b")]
 
 
 def test_stream_gives_what_the_batch_gives(spark, folder):

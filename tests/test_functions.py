@@ -58,7 +58,7 @@ def test_half_even_pixels(spark):
 
 
 def test_exact_rounding(spark):
-    assert one(spark, [(0.1235,), (0.5,), (None,)], "c double", G.round3_exact(F.col("c"))) == [round(0.1235, 3), 0.5, None]
+    assert one(spark, [(0.1235,), (0.5,), (None,)], "c double", G.round3(F.col("c"))) == [round(0.1235, 3), 0.5, None]
 
 
 def test_merged_positions(spark):

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from formloom.plans import more_queries  # noqa: F401  registers its queries
+from formloom.plans import file_queries, more_queries, page_queries  # noqa: F401  each registers its queries
 from formloom.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

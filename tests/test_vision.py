@@ -40,7 +40,7 @@ def test_zones_follow_the_lines():
 
 
 def test_zones_of_an_empty_page_are_the_templates():
-    assert [b[3] for b in P.zones(np.full((600, 400), 255, np.uint8), Settings(region_detection_method="template"))] == ["template"] * 3
+    assert [b[3] for b in P.zones(np.full((600, 400), 255, np.uint8), Settings(region_detection_strategy="template"))] == ["template"] * 3
 
 
 def test_grid_and_cells():
@@ -126,9 +126,9 @@ def test_cells_of_a_page(spark, tmp_path):
         page[264:701, x - 1 : x + 2] = 0
     page[430:520:4, 110:280] = 0
     (tmp_path / "a.png").write_bytes(png(page))
-    s = Settings(region_detection_method="template", template_name="otk_v2")
+    s = Settings(region_detection_strategy="template", template_name="otk_v2")
     read = images.images(spark, str(tmp_path))
-    cells = P.recognised_cells(read, lambda origin, place, pixels: [("x", 0.5), ("y", 0.7)], s).collect()
+    cells = P.recognised_cells(read, lambda origin, place, pixels: [("x", 0.5, 0, 0, 1, 1), ("y", 0.7, 0, 0, 1, 1)], s).collect()
     bands = {b[0]: b for b in P.zones(page, s)}
     found = P.grid(page[bands["defects"][1] : bands["defects"][2]], s)
     assert found is None or len(cells) == len(P.cell_boxes(found, 600, bands["defects"][2] - bands["defects"][1], s))
