@@ -299,7 +299,7 @@ class Network:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """0 to 1; 0.0 for null texts and texts without a word."""
         logits = self.text_logits(texts)
-        with np.errstate(over="ignore"):
+        with np.errstate(over="ignore", invalid="ignore"):
             return np.where(np.isfinite(logits), 1 / (1 + np.exp(-(self.scale * logits + self.shift))), 0.0)
 
 

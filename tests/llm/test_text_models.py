@@ -84,6 +84,53 @@ def test_toxic_word_is_found_anywhere_in_a_long_text():
     assert scores[0] >= 0.3 > scores[1] and scores[2] == scores[3] == 0.0
 
 
+def f1(found, want):
+    found, want = np.array(found, bool), np.array(want, bool)
+    return 2 * (found & want).sum() / max(1, found.sum() + want.sum())
+
+
+def test_toxicity_beats_a_table_of_words_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = docs.join(labels, "doc_id").where("text is not null").select("doc_id", "text", "toxic", held_out(docs.doc_id).alias("held")).orderBy("doc_id").collect()
+    scored = {r.doc_id: r for r in toxicity.score(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), toxicity.fit(docs, labels)).collect()}
+    held = [r for r in rows if r.held]
+    own = f1([scored[r.doc_id].predicted for r in held], [r.toxic for r in held])
+    # the baseline: the largest log-odds of a document's words, cut where it is best on the rows it was made from
+    words = lambda r: set(re.findall(r"\w+", r.text.lower()))
+    seen, n = [Counter(), Counter()], [0, 0]
+    for r in rows:
+        if not r.held:
+            seen[r.toxic].update(words(r))
+            n[r.toxic] += 1
+    odds = lambda w: math.log((seen[1][w] + 0.5) / (n[1] + 1)) - math.log((seen[0][w] + 0.5) / (n[0] + 1))
+    worst = lambda r: max(map(odds, words(r)), default=-9.0)
+    fitted = [(worst(r), r.toxic) for r in rows if not r.held]
+    cut = max({s for s, _ in fitted}, key=lambda c: f1([s >= c for s, _ in fitted], [t for _, t in fitted]))
+    table = f1([worst(r) >= cut for r in held], [r.toxic for r in held])
+    caught = np.mean([scored[r.doc_id].predicted for r in held if r.toxic])
+    print(f"network F1 {own:.3f}, recall {caught:.3f}; word table F1 {table:.3f}")
+    assert own > table and own > 0.87 and caught > 0.85
+
+
+def test_training_windows_are_bounded_and_spread():
+    shape = toxicity.Shape(window=8, stride=6)
+    assert toxicity.cut_windows(None, shape, 4, 100) == toxicity.cut_windows(" ", shape, 4, 100) == []
+    text = " ".join(f"w{i}" for i in range(1000))
+    got = toxicity.cut_windows(text, shape, 5, 1000)
+    assert len(got) == 5 and got[0].startswith("w0 ") and int(got[-1].split()[0][1:]) > 700
+    every = toxicity.cut_windows(text, shape, 10**6, 1000)
+    assert {w for x in every for w in x.split()} == set(text.split())
+    assert toxicity.cut_windows("a " * 6 + "x" * 5000, shape, 9, 1000) == []
+
+
+def test_ids_with_both_labels_teach_nothing(spark):
+    docs = spark.createDataFrame([(i, "some text") for i in range(40)] + [(0, "another text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 1 - i % 2) for i in range(0, 40, 4)] + [(1, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: r.toxic for r in toxicity.sample(docs, labels, 100).collect()}
+    assert got == {i: i % 2 for i in range(40) if i % 4 and zlib.crc32(str(i).encode()) % 4 != 2}
+
+
 def test_toxicity_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     net = toxicity.fit(odd_rows(spark), empty)
@@ -124,6 +171,34 @@ def test_mixed_and_foreign_texts_are_rejected(spark):
     assert languages.predict("a")[0] in languages.content
 
 
+def test_sizes_are_those_of_plain_compression():
+    import zstandard
+
+    languages = langid.Languages({"a": b"the of and or but " * 200, "b": "der die das und oder é ".encode() * 200, "c": b"le la les et ou mais " * 200})
+    for text in ("a", "A.", "a 1", "é", "the", "der die das", "the and " * 3000, "ab " * 1500, "x" * 9000):
+        clean = langid.normalise(text).encode()
+        parts = languages.segments(clean)
+        assert b"".join(parts) == clean and max(map(len, parts)) <= 4096 + 1 and (len(parts) == 1 or len(parts) % 2 == 0)
+        want = {}
+        for lang, data in languages.content.items():
+            own = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            options = zstandard.ZstdCompressionParameters.from_level(5, source_size=4096, dict_size=max(map(len, languages.content.values())), min_match=3, search_log=3, strategy=zstandard.STRATEGY_BTLAZY2, write_checksum=0, write_content_size=0, write_dict_id=0)
+            made = zstandard.ZstdCompressor(dict_data=own, compression_params=options)
+            want[lang] = sum(len(made.compress(bytes(256) + b" " + p + b" ")) for p in parts)
+        lang, score = languages.predict(text)
+        best, second = sorted(want.values())[:2]
+        assert want[lang] == best and 0 <= score <= 1 and (best == second or score == (second - best) / second)
+
+
+def test_dictionaries_come_from_anywhere_in_the_texts(spark):
+    text = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(6000))
+    docs = spark.createDataFrame([(i, text, "aa") for i in range(30)] + [(99, "bb only", "bb"), (100, None, "cc"), (101, "", "dd"), (102, "x", None)], "doc_id long, text string, lang string")
+    content = langid.fit(docs, pieces_per_lang=20, piece_chars=200).content
+    assert set(content) == {"aa", "bb"} and len(content["aa"]) <= 20 * 201
+    places = sorted(text.index(w) for w in content["aa"].decode().split()[1:] if len(w) == 7 and w in text)
+    assert places[-1] > len(text) * 0.6  # not the beginnings only
+
+
 def test_language_edges(spark):
     languages = langid.Languages({"a": b"the of and " * 50, "b": b"der die das " * 50})
     rows = {(r.doc_id, r.lang_pred) for r in langid.identify(odd_rows(spark), languages).collect()}
@@ -160,4 +235,18 @@ def test_backoff_scores_are_those_of_brute_force(spark, order):
     for (doc_id, _), (n, log) in zip(rows, brute_force([t for _, t in rows], order)):
         assert got[doc_id].n_words == n and got[doc_id].log_score == pytest.approx(log, abs=1e-8)
     assert got[1000].perplexity is None and got[1001].n_words == 0
+    scanned = lm.backoff_scores(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), order=order, chunk_chars=20000, hash_rounds=2, chunk_rounds=3).collect()
+    whole = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    for r, (n, log) in zip(sorted(scanned, key=lambda r: r.doc_id), brute_force(whole, order)):
+        assert r.n_words == n and r.log_score == pytest.approx(log, abs=1e-7)
     assert lm.backoff_scores(docs.limit(0)).count() == 0
+
+
+def test_backoff_scores_of_odd_rows(spark):
+    long = "alpha beta gamma delta " * 20000
+    rows = [(None, "alpha beta gamma"), (1, "alpha beta gamma"), (1, "alpha beta gamma"), (None, None), (2, long), (3, " \t\n"), (4, "É é alpha\x0bbeta"), (5, "Alpha BETA gamma omega")]
+    docs = spark.createDataFrame([(i, t, 0.5, 7) for i, t in rows], "doc_id long, text string, log_score double, chunk int").repartition(3)
+    got = sorted((str(r.doc_id), r.n_words, round(r.log_score, 7)) for r in lm.backoff_scores(docs, chunk_chars=64).collect())
+    assert got == sorted((str(i), n, round(log, 7)) for (i, _), (n, log) in zip(rows, brute_force([t for _, t in rows])))
+    one = lm.backoff_scores(docs.where("doc_id = 2")).first()
+    assert one.n_words == 80000 and one.seen == 0
