@@ -118,20 +118,12 @@ def read_back(formatted: Column, template: Template = Template()) -> Column:
         return out
 
     # a role that the template lacks takes two pieces: its name, then its text
-    def step(acc: Column, p: Column) -> Column:
-        name = F.struct(unescape(F.substr(p, F.lit(len(open_) + 1))).alias("role"), F.lit("").alias("text"))
-        last = F.element_at(acc, -1)
-        filled = F.struct(last.role.alias("role"), unescape(F.substr(p, F.lit(len(middle) + 1))).alias("text"))
-        return (
-            F.when(p.startswith(middle), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(filled)))
-            .when(p.startswith(open_), F.concat(acc, F.array(name)))
-            .when(turn(p).isNotNull(), F.concat(acc, F.array(turn(p))))
-            .otherwise(acc)
-        )
+    def piece(p: Column, i: Column) -> Column:
+        after = F.get(tokens, i + 1)
+        text = F.when(after.startswith(middle), unescape(F.substr(after, F.lit(len(middle) + 1)))).otherwise("")
+        return F.when(p.startswith(open_), F.struct(unescape(F.substr(p, F.lit(len(open_) + 1))).alias("role"), text.alias("text"))).otherwise(turn(p))
 
-    plain = F.filter(F.transform(tokens, turn), lambda t: t.isNotNull())
-    general = F.aggregate(tokens, F.array().cast("array<struct<role:string,text:string>>"), step)
-    return F.when(F.exists(tokens, lambda p: p.startswith(open_)), general).otherwise(plain)
+    return F.filter(F.transform(tokens, piece), lambda t: t.isNotNull())
 
 
 def digests(chats: DataFrame, template: Template = Template()) -> DataFrame:
