@@ -29,6 +29,7 @@ from formloom.llm.common import cut, drop_cut, slices, small_batches
 from formloom.llm.components import connected
 
 BITS = 64
+_HOT_SHARE = 256
 _HASHES_AT_ONCE = 1 << 15
 
 
@@ -266,12 +267,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: in
     rows stay repeated. An empty table gives an empty result; other columns are ignored.
     """
     prints = cut(fingerprints(docs, words), "fingerprints")
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct")
     roots = connected(links(distinct.select("fp"), radius, blocks, bucket_rows))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     leaders = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     groups = rooted.join(leaders, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+    # a fingerprint with a share of the rows, as that of empty texts, is dealt to several tasks; there are _HOT_SHARE of them at most
+    total = prints.count()
+    least = max(1000, -(-total // _HOT_SHARE))
+    hot = F.broadcast(distinct.where(F.col("n") >= least).select("fp", F.ceil(F.col("n") / least).cast("int").alias("deal")))
+    deal = F.coalesce("deal", F.lit(1))
+    dealt = groups.join(hot, "fp", "left").select("fp", "component_id", F.explode(F.sequence(F.lit(0), deal - 1)).alias("salt"))
+    salted = prints.join(hot, "fp", "left").select("doc_id", "fp", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), deal).cast("int").alias("salt"))
+    return salted.join(dealt.hint("merge"), ["fp", "salt"]).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 _HEAD = 32
