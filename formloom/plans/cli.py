@@ -7,6 +7,7 @@ import datetime
 import logging
 import os
 import sys
+from collections.abc import Callable
 from logging.handlers import RotatingFileHandler
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from formloom.vision import pages, recognisers
 
 MODES = ["preprocess", "ocr", "correction", "extract", "pipeline", "batch"]
 log = logging.getLogger("formloom")
+Keep = Callable[[DataFrame], DataFrame]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -44,17 +46,17 @@ def set_logging(s: settings.Settings) -> None:
         log.addHandler(handler)
 
 
-def write_corrected(docs: DataFrame, output: str) -> DataFrame:
+def write_corrected(docs: DataFrame, output: str, keep: Keep) -> DataFrame:
     """``-corrected.json`` of each document, with its corrections and validation; the documents come back."""
-    done = assemble.validated(assemble.corrected(docs.where("status = 'ok'"))).cache()
+    done = keep(assemble.validated(assemble.corrected(docs.where("status = 'ok'"))))
     kept = done.drop("status", "error", "seconds").withColumnRenamed("file_name", "doc_id")
     sinks.write_documents(kept, output, "(-cor)?(-texts)?", "-corrected.json")
     return done
 
 
-def write_data(docs: DataFrame, output: str) -> DataFrame:
+def write_data(docs: DataFrame, output: str, keep: Keep) -> DataFrame:
     """``-data.json`` of each document; what was extracted comes back, doc_id being the document's file name."""
-    data = pipeline.extract(D.detections(docs), D.cells(docs)).cache()
+    data = keep(pipeline.extract(D.detections(docs), D.cells(docs)))
     sinks.write_documents(data, output, "(-cor)?(-texts)?(-corrected)?", "-data.json")
     return data
 
@@ -79,11 +81,23 @@ def summary(files: DataFrame, done: DataFrame | None, data: DataFrame | None) ->
 
 def process(spark: SparkSession, path: str, output: str, mode: str, s: settings.Settings = settings.Settings(), recogniser: str | None = None) -> bool:
     """Run a mode over a file or directory; True if every file could be processed."""
-    mode = "pipeline" if mode == "batch" else mode
+    held: list[DataFrame] = []
+    try:
+        return _process(spark, path, output, "pipeline" if mode == "batch" else mode, s, recogniser, held)
+    finally:
+        for df in held:  # a later run over the same folder must see its files as they are then
+            df.unpersist()
+
+
+def _process(spark: SparkSession, path: str, output: str, mode: str, s: settings.Settings, recogniser: str | None, held: list[DataFrame]) -> bool:
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.cache())
+        return held[-1]
+
     found = images.image_files(spark, path).select("name")
     done = data = None
     if mode == "preprocess":
-        made = pages.preprocessed(images.images(spark, path), s).cache()
+        made = keep(pages.preprocessed(images.images(spark, path), s))
         sinks.write_pages(made, output, s.processed_suffix)
         return made.where("status <> 'ok'").isEmpty()
     if mode in ("ocr", "pipeline") and not found.isEmpty():
@@ -91,17 +105,18 @@ def process(spark: SparkSession, path: str, output: str, mode: str, s: settings.
             raise ValueError("page images need --recogniser")
         recognisers.make(recogniser, s)  # a name that nothing is known by fails here, not on an executor
         bands = templates.load_templates(spark, s.region_template_file)
-        files = assemble.of_pages(pages.read_pages(images.images(spark, path), recognisers.Named(recogniser, s), s, bands), s.ocr_confidence_threshold, s.ocr_language, recogniser).cache()
+        read = pages.read_pages(images.images(spark, path), recognisers.Named(recogniser, s), s, bands)
+        files = keep(assemble.of_pages(read, s.ocr_confidence_threshold, s.ocr_language, recogniser))
         kept = files.where("status = 'ok'").drop("status", "error", "seconds").withColumnRenamed("file_name", "doc_id")
         sinks.write_documents(kept, output, s.processed_suffix, "-texts.json")
     elif mode == "ocr":
         raise ValueError("no page images")
     else:
-        files = D.documents(spark, path, regions_required=mode != "correction").cache()
+        files = keep(D.documents(spark, path, regions_required=mode != "correction"))
     if mode in ("correction", "pipeline"):
-        done = write_corrected(files, output)
+        done = write_corrected(files, output, keep)
     if mode in ("extract", "pipeline"):
-        data = write_data(done if done is not None else files, output)
+        data = write_data(done if done is not None else files, output, keep)
     sinks.write_summary(summary(files, done, data), output, f"{datetime.datetime.now():%Y%m%d_%H%M%S}")
     for r in files.where("status <> 'ok'").select("file_name", "error").collect():  # the files that failed, to be told
         log.error("%s: %s", r.file_name, r.error)

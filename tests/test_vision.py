@@ -135,3 +135,86 @@ def test_cells_of_a_page(spark, tmp_path):
     assert {c.text for c in cells} <= {"", "x y"}
     for c in cells:
         assert (c.text, round(c.confidence, 6)) in {("", 1.0), ("x y", 0.6)}
+
+
+def test_command_line_over_images(spark, tmp_path, monkeypatch):
+    import json
+
+    from formloom.plans import cli
+    from formloom.sources import png as files
+    from formloom.sources.drawn import page
+
+    monkeypatch.setenv("LOG_DIR", str(tmp_path / "logs"))
+    for name, value in (("TEMPLATE_NAME", "otk_v2"), ("TABLE_CELL_PREPROCESS", "false"), ("ENABLE_ADAPTIVE_SCALING", "false"), ("ENABLE_PERSPECTIVE_CORRECTION", "false")):
+        monkeypatch.setenv(name, value)
+    (tmp_path / "in").mkdir()
+    for k in (1, 2):
+        (tmp_path / "in" / f"form{k}-cor.png").write_bytes(files.encode(page(k)))
+    run = lambda *args: cli.main(["--batch", str(tmp_path / "in"), "--output", str(tmp_path / "out"), *args])
+    assert run("--mode", "ocr") == 1 and run("--mode", "batch", "--recogniser", "nothing") == 1
+    assert run("--mode", "batch", "--recogniser", "dots") == 0
+    names = sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith("batch_summary"))
+    assert names == ["form1-corrected.json", "form1-data.json", "form1-texts.json", "form2-corrected.json", "form2-data.json", "form2-texts.json"]
+    text = json.loads((tmp_path / "out" / "form1-texts.json").read_text())
+    assert text["document_info"]["image_height"] == 1210 and text["document_info"]["ocr_engine"] == "dots" and len(text["regions_detected"]) == 3
+    assert {d["region_id"] for d in text["text_regions"]} == {"header", "defects", "analysis"} and text["table_data_by_region"]["defects"]["grid"]["num_cols"] == 4
+    (found,) = (tmp_path / "out").glob("batch_summary_*.json")
+    files_ = json.loads(found.read_text())["file_results"]
+    assert all(f["status"] == "ok" and f["seconds"] > 0 and f["texts_found"] > 6 for f in files_)
+    (tmp_path / "in" / "junk.png").write_bytes(b"junk")
+    assert run("--mode", "ocr", "--recogniser", "dots") == 1
+    assert cli.main(["--file", str(tmp_path / "in" / "form1-cor.png"), "--mode", "preprocess", "--output", str(tmp_path / "pages")]) == 0
+    assert files.decode((tmp_path / "pages" / "form1-cor-cor.png").read_bytes()).shape == (1210, 800)
+
+
+def test_recognisers_by_name_and_their_forms(tmp_path):
+    from formloom.vision import recognisers as R
+
+    with pytest.raises(ValueError):
+        R.make("nothing")
+    box = [[1, 2], [5, 2], [5, 9], [1, 9]]
+    want = [("a", 0.5, 1, 2, 5, 9)]
+    assert R.normalised([("a", 0.5, 1, 2, 5, 9)]) == want
+    assert R.normalised([{"rec_texts": ["a", "b"], "rec_scores": [0.5], "rec_polys": [box, box]}]) == want
+    assert R.normalised([[[box, ("a", 0.5)], [box, None], None, [[], ("x", 1)]]]) == want
+    assert R.normalised(None) == R.normalised([]) == R.normalised([None]) == []
+    (tmp_path / "r.json").write_text('{"a.png": {"header": [["x", 0.9, 0, 0, 1, 1]]}}')
+    named = R.Named(f"replay:{tmp_path}/r.json")
+    assert R.normalised(named("file:/in/a.png", "header", None)) == [("x", 0.9, 0, 0, 1, 1)] and R.normalised(named("b.png", "header", None)) == []
+    named.close()
+
+
+def test_failures_are_retried_smaller_and_then_rows(spark, tmp_path):
+    from formloom.sources import png as files
+    from formloom.sources.drawn import page
+
+    (tmp_path / "a.png").write_bytes(files.encode(page(0)))
+    read = images.images(spark, str(tmp_path))
+    s = Settings(template_name="otk_v2", enable_table_detection=False)
+
+    def picky(origin, region, pixels):
+        if pixels.shape[1] > 400:
+            raise RuntimeError("too large")
+        return [("t", 0.9, 10, 10, 20, 20)]
+
+    rows = P.recognised(read, picky, s).collect()
+    assert {(r.x0, r.x1) for r in rows} == {(20, 40)} and len(rows) == 3  # read at half the size, boxes scaled back
+
+    def broken(origin, region, pixels):
+        raise RuntimeError("never")
+
+    row = P.read_pages(read, broken, s, prepare=False).first()
+    assert (row.status, row.error) == ("failed", "never") and row.seconds > 0
+
+
+def test_adaptive_binarisation_and_solid_pages():
+    image = np.full((120, 160), 180, np.uint8)
+    image[:, 80:] = 90
+    image[40:50, 20:60], image[40:50, 100:140] = 120, 30
+    black = P.enhance(image, Settings(binarization_mode="adaptive", enable_adaptive_scaling=False)) == 0
+    assert black[40:50, 25:55].mean() > 0.5 and black[40:50, 105:135].mean() > 0.5 and black[90:, 10:60].mean() < 0.2
+    bay = np.zeros((400, 400), np.uint8)
+    bay[50:350, 50:350] = 250
+    bay[50:260, 120:350] = 0  # an L: its hull has corners that the page has not
+    assert P.straighten(bay, S).shape == bay.shape
+    assert np.allclose(K.gaussian(np.full((9, 9), 7.0), 5), 7)
