@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formloom.llm import simhash
 from formloom.llm.common import lower_ascii, word_count
 
 
@@ -83,15 +84,20 @@ def _pack_shard(rows: pd.DataFrame, capacity: int, max_sources: int) -> pd.DataF
     )
 
 
-def items(docs: DataFrame) -> DataFrame:
+def items(docs: DataFrame, near: bool = False) -> DataFrame:
     """docs(doc_id, text, source, ...) -> what packing needs of each row: (doc_id, n_words, source, cluster).
 
-    The cluster is a hash of the lower-cased text: rows with the same text are one cluster. Rows
-    without words, null texts among them, have a null cluster.
+    The cluster is a hash of the lower-cased text: rows with the same text are one cluster. With near it
+    is the component of operator 3, simhash.near_duplicates: near copies are one cluster too. Rows without
+    words, null texts among them, have a null cluster.
     """
     text = F.col("text").cast("string")
-    sized = docs.select("doc_id", word_count(text).alias("n_words"), F.col("source").cast("string").alias("source"), F.xxhash64(lower_ascii(text)).alias("cluster"))
-    return sized.withColumn("cluster", F.when(F.col("n_words") > 0, F.col("cluster")))
+    sized = docs.select("doc_id", text.alias("text"), word_count(text).alias("n_words"), F.col("source").cast("string").alias("source"), F.xxhash64(lower_ascii(text)).alias("cluster"))
+    if near:
+        found = simhash.near_duplicates(sized.drop("cluster"), carry=["n_words", "source"])
+        # a component without any id is known by its members' fingerprints
+        sized = found.withColumn("cluster", F.when(F.col("component_id").isNotNull(), F.xxhash64(F.lit("component"), "component_id")).otherwise(F.xxhash64("fingerprint")))
+    return sized.select("doc_id", "n_words", "source", F.when(F.col("n_words") > 0, F.col("cluster")).alias("cluster"))
 
 
 def pack(rows: DataFrame, n_rows: int, capacity: int = 2048, max_sources: int = 4, shard_docs: int = 2048) -> DataFrame:

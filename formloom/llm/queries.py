@@ -75,7 +75,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cut(packing.items(table(spark, sf_dir, "documents")), "items")
+    rows = cut(packing.items(table(spark, sf_dir, "documents"), near=True), "items")
     return packing.pack(rows, rows.count())
 
 

@@ -16,7 +16,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -79,17 +79,18 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / union if union else 1.0
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long; one row for each row of docs."""
+def fingerprints(docs: DataFrame, words: int = 3, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fp, the columns of carry): fp is the fingerprint as a signed long; one row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
             found = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *carry])
 
     small_batches(docs.sparkSession)
-    picked = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp bigint")
+    picked = docs.select("doc_id", F.col("text").cast("string").alias("text"), *carry)
+    kinds = dict(docs.dtypes)
+    return picked.mapInArrow(run, ", ".join([f"doc_id {kinds['doc_id']}", "fp bigint", *(f"{c} {kinds[c]}" for c in carry)]))
 
 
 def hex_of(fp) -> F.Column:
@@ -258,15 +259,15 @@ def _above(digits: list[np.ndarray], radius: int) -> np.ndarray:
     return more
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4, bucket_rows: int = 4096) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, fingerprint, component_id), a row for each row.
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4, bucket_rows: int = 4096, carry: Sequence[str] = ()) -> DataFrame:
+    """docs(doc_id, text, ...) -> (doc_id, fingerprint, component_id, the columns of carry), a row for each row.
 
     fingerprint: 16 lowercase hex digits, all zero for null texts and texts without words,
     which are linked like others. component_id: the smallest doc_id that links of at most
     ``radius`` differing bits reach; null where all ids of the component are null. Repeated
     rows stay repeated. An empty table gives an empty result; other columns are ignored.
     """
-    prints = cut(fingerprints(docs, words), "fingerprints")
+    prints = cut(fingerprints(docs, words, carry), "fingerprints")
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct")
     roots = connected(links(distinct.select("fp"), radius, blocks, bucket_rows))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -278,8 +279,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: in
     hot = F.broadcast(distinct.where(F.col("n") >= least).select("fp", F.ceil(F.col("n") / least).cast("int").alias("deal")))
     deal = F.coalesce("deal", F.lit(1))
     dealt = groups.join(hot, "fp", "left").select("fp", "component_id", F.explode(F.sequence(F.lit(0), deal - 1)).alias("salt"))
-    salted = prints.join(hot, "fp", "left").select("doc_id", "fp", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), deal).cast("int").alias("salt"))
-    return salted.join(dealt.hint("merge"), ["fp", "salt"]).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+    salted = prints.join(hot, "fp", "left").select("doc_id", "fp", *carry, F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), deal).cast("int").alias("salt"))
+    return salted.join(dealt.hint("merge"), ["fp", "salt"]).select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id", *carry)
 
 
 _HEAD = 32

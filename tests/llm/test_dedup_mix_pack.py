@@ -208,3 +208,32 @@ def test_texts_without_words_conflict_with_nothing(spark):
     rows = packing.items(docs)
     assert rows.where("cluster is null").count() == 5
     assert len({r.bin for r in packing.pack(rows, rows.count()).collect()}) == 2
+
+
+def test_near_copies_do_not_share_a_bin(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    rows = [(i, base + f" end{i % 3}", "x") for i in range(9)] + [(20, "a b c", "x"), (21, None, "x"), (22, "", "x"), (None, base, "x"), (23, "d e f g", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    items = packing.items(docs, near=True)
+    of = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    got = items.collect()
+    assert sorted((str(r.doc_id), r.n_words) for r in got) == sorted((str(i), len((t or "").split())) for i, t, _ in rows)
+    for a in got:
+        for b in got:
+            if a.cluster is not None and b.cluster is not None:
+                assert (a.cluster == b.cluster) == (of[a.doc_id].component_id == of[b.doc_id].component_id)
+    assert all(r.cluster is None for r in got if not r.n_words)
+    bins = {}
+    for p in packing.pack(items, len(rows)).collect():
+        bins.setdefault((p.shard, p.bin), []).append(p.cluster)
+    assert all(len(own) == len(set(own)) for own in ([c for c in b if c is not None] for b in bins.values()))
+    assert packing.items(docs.limit(0), near=True).count() == 0
+
+
+def test_hub_of_a_large_component(spark):
+    from formloom.llm.components import connected
+
+    links = [(0, i) for i in range(1, 900)] + [(i, i + 10000) for i in range(1, 50)] + [(20000, 20001), (20001, 20002), (5, 5), (None, 3)]
+    got = {r.node: r.root for r in connected(spark.createDataFrame(links, "u long, v long")).collect()}
+    want = {i: 0 for i in range(1, 900)} | {i + 10000: 0 for i in range(1, 50)} | {20001: 20000, 20002: 20000}
+    assert got == want
