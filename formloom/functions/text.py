@@ -68,9 +68,13 @@ def repair_slash(text: Column) -> Column:
     return F.regexp_replace(once, r"([0-9])[Il|∣]([0-9])", "$1/$2")
 
 
+# Letters, Latin and Cyrillic, and the digits that recognition takes them for.
+DIGIT_SHAPES = ("OSZgЗОБ", "0529308")
+
+
 def repair_digits(text: Column) -> Column:
     """Where a digit occurs, letters of the shape of digits are digits."""
-    return F.when(matches(text, r"\d"), F.translate(text, "OSZgЗОБ", "0529308")).otherwise(text)
+    return F.when(matches(text, r"\d"), F.translate(text, *DIGIT_SHAPES)).otherwise(text)
 
 
 def blank_number(text: Column, slashes: bool = True, digits: bool = True) -> Column:

@@ -62,8 +62,8 @@ def mandatory_missing(header: DataFrame) -> DataFrame:
     return wanted.join(long_fields(header, MANDATORY).select("doc_id", "field"), ["doc_id", "field"], "left_anti")
 
 
-def mandatory_report(header: DataFrame, least: float = 0.7) -> DataFrame:
-    """By document: what is missing, what is suspicious (found, but with a low confidence), and the errors, sorted by field."""
+def report_of(least: float = 0.7) -> Column:
+    """(total_fields_validated, mandatory_fields_missing, missing_count, suspicious_fields, errors) of a document's header columns, see mandatory_report."""
     missing = F.filter(F.array(*(F.when(F.col(n).isNull(), n) for n in MANDATORY)), lambda x: x.isNotNull())
     low = F.filter(F.array(*(F.when(F.col(n).confidence < least, n) for n in MANDATORY)), lambda x: x.isNotNull())
     note = lambda n: F.when(F.col(n).isNull(), F.struct(F.lit(n).alias("field"), F.lit("Field is missing").alias("message"), F.lit("error").alias("severity"))).when(
@@ -71,12 +71,17 @@ def mandatory_report(header: DataFrame, least: float = 0.7) -> DataFrame:
         F.struct(F.lit(n).alias("field"), F.format_string("Low confidence: %.3f", F.col(n).confidence).alias("message"), F.lit("warning").alias("severity")),
     )
     errors = F.filter(F.array(*map(note, MANDATORY)), lambda x: x.isNotNull())
-    return header.select(
-        "doc_id", F.lit(len(MANDATORY)).alias("total_fields_validated"), missing.alias("mandatory_fields_missing"), F.size(missing).alias("missing_count"),
+    return F.struct(
+        F.lit(len(MANDATORY)).alias("total_fields_validated"), missing.alias("mandatory_fields_missing"), F.size(missing).alias("missing_count"),
         low.alias("suspicious_fields"), errors.alias("errors"),
     )
 
 
+def mandatory_report(header: DataFrame, least: float = 0.7) -> DataFrame:
+    """By document: what is missing, what is suspicious (found, but with a low confidence), and the errors, sorted by field."""
+    return header.select("doc_id", report_of(least).alias("r")).select("doc_id", "r.*")
+
+
 def fields_extracted(names: list[str] = HEADER_COUNTED) -> Column:
     return sum((F.when(F.col(n).isNotNull(), 1).otherwise(0) for n in names), F.lit(0))
 

@@ -52,25 +52,33 @@ def _defect_row(row: Column, kind: Column) -> Column:
     return F.struct(*(place(n).alias(n) for n in names), _average(row).alias("confidence"), _texts(row).alias("source_texts"))
 
 
+def blocks_of(defects: Column, width: Column, height: Column) -> Column:
+    """[(block, kind, title, headers, rows)] of a page's defects, see defect_blocks."""
+    def block(members: Column, i: Column) -> Column:
+        edge = F.array_min(F.transform(members, lambda d: d.cy)) + 50
+        # members come in the order of x; a stable sort by y keeps that order among equals
+        by_y = F.transform(F.array_sort(F.transform(members, lambda d, n: F.struct(d.cy.alias("cy"), n.alias("n"), d.alias("d")))), lambda x: x.d)
+        parts = lambda e, ds: F.struct(
+            F.array_join(_texts(F.filter(ds, lambda d: d.cy < e)), " ").alias("title"), L.rows(F.filter(ds, lambda d: d.cy >= e), pixels(0.6, height)).alias("lines")
+        )
+        return T.let(edge, lambda e: T.let(by_y, lambda ds: T.let(parts(e, ds), lambda p: whole(p, i))))
+
+    def whole(p: Column, i: Column) -> Column:
+        kind = classify(p.title)
+        rows = F.transform(F.slice(p.lines, 2, F.size(p.lines)), lambda r: T.let(_by_x(r), lambda own: _defect_row(own, kind)))
+        made = F.struct(i.alias("block"), kind.alias("kind"), p.title.alias("title"), _texts(A.first(p.lines)).alias("headers"), rows.alias("rows"))
+        return F.when(F.size(p.lines) > 0, made)
+
+    return F.filter(F.transform(L.blocks(defects, pixels(12.0, width)), block), lambda b: b.isNotNull())
+
+
 def defect_blocks(pages: DataFrame) -> DataFrame:
     """One row for each block of defects with a table: (doc_id, block, kind, title, headers, rows).
 
     Blocks are told apart by gaps in x. What lies within 50 pixels of a block's top is its title; of the
     rows below, the first is the header. A block without rows below its title is left out, but keeps its number.
     """
-    split = pages.withColumn("blocks", L.blocks(F.col("defects"), pixels(12.0, F.col("width"))))
-    one = split.select("doc_id", "height", F.posexplode("blocks").alias("block", "members"))
-    edge = F.array_min(F.transform("members", lambda d: d.cy)) + 50
-    # members come in the order of x; a stable sort by y keeps that order among equals
-    order = F.transform("members", lambda d, n: F.struct(d.cy.alias("cy"), n.alias("n"), d.alias("d")))
-    by_y = F.transform(F.array_sort(order), lambda x: x.d)
-    parted = one.withColumn("edge", edge).withColumn("by_y", by_y)
-    titled = parted.withColumn("title", F.array_join(_texts(F.filter("by_y", lambda d: d.cy < F.col("edge"))), " ")).withColumn(
-        "lines", L.rows(F.filter("by_y", lambda d: d.cy >= F.col("edge")), pixels(0.6, F.col("height")))
-    )
-    kinds = titled.where(F.size("lines") > 0).withColumn("kind", classify(F.col("title")))
-    data = F.transform(F.slice("lines", 2, F.size("lines")), lambda r: T.let(_by_x(r), lambda own: _defect_row(own, F.col("kind"))))
-    return kinds.select("doc_id", "block", "kind", "title", _texts(A.first(F.col("lines"))).alias("headers"), data.alias("rows"))
+    return pages.select("doc_id", F.explode(blocks_of(F.col("defects"), F.col("width"), F.col("height"))).alias("b")).select("doc_id", "b.*")
 
 
 def defect_rows_of_cells(cells: DataFrame) -> DataFrame:
@@ -99,11 +107,18 @@ def name_cells(cells: DataFrame, columns: DataFrame) -> DataFrame:
     return named.groupBy("doc_id", "row_idx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("col_idx", entry.alias("e"))))["e"]).alias("fields"))
 
 
+def lines_of(analysis: Column, height: Column) -> Column:
+    """[(line, row_number, ..., confidence)] of a page's analysis, see analysis_rows."""
+    def line(members: Column, i: Column) -> Column:
+        fields = lambda r: F.struct(i.alias("line"), *(_at(r, k).alias(n) for k, n in enumerate(_ANALYSIS)), _average(r).alias("confidence"))
+        return F.when((i > 0) & (F.size(members) >= 2), T.let(_by_x(members), fields))
+
+    return F.filter(F.transform(L.rows(analysis, pixels(0.6, height)), line), lambda x: x.isNotNull())
+
+
 def analysis_rows(pages: DataFrame) -> DataFrame:
     """(doc_id, line, row_number, operation, cause, responsible, decision, confidence): rows of two texts or more after the first."""
-    lines = pages.select("doc_id", F.posexplode(L.rows(F.col("analysis"), pixels(0.6, F.col("height")))).alias("line", "members"))
-    data = lines.where((F.col("line") > 0) & (F.size("members") >= 2)).withColumn("r", _by_x(F.col("members")))
-    return data.select("doc_id", "line", *(_at(F.col("r"), k).alias(n) for k, n in enumerate(_ANALYSIS)), _average(F.col("r")).alias("confidence"))
+    return pages.select("doc_id", F.explode(lines_of(F.col("analysis"), F.col("height"))).alias("r")).select("doc_id", "r.*")
 
 
 def _decided(text: Column) -> Column:
@@ -113,13 +128,8 @@ def _decided(text: Column) -> Column:
     return out
 
 
-def final_decision(pages: DataFrame) -> DataFrame:
-    """(doc_id, action, quantity, manager_name, otk_representative) of documents with an action.
-
-    The last text with an action gives it; the last such text with digits gives the quantity. Names lie
-    50 to 400 pixels right of their labels; the last label with one wins.
-    """
-    zone = F.col("analysis")
+def decision_of(zone: Column) -> Column:
+    """(action, quantity, manager_name, otk_representative) of a page's analysis, or null, see final_decision."""
     acts = F.filter(zone, lambda d: T.has_any(d.text, ACTIONS))
     numbers = F.filter(F.transform(acts, lambda d: T.first_integer(d.text)), lambda n: n.isNotNull())
 
@@ -133,8 +143,18 @@ def final_decision(pages: DataFrame) -> DataFrame:
         found = F.transform(F.filter(zone, labelled), lambda at: A.first(F.filter(A.near(zone, at, 50, 400, 50), lambda d: T.looks_signed(T.strip(d.text)))))
         return T.strip(F.try_element_at(F.filter(found, lambda d: d.isNotNull()), F.lit(-1)).text)
 
-    out = pages.select(
-        "doc_id", _decided(F.try_element_at(acts, F.lit(-1)).text).alias("action"), F.try_element_at(numbers, F.lit(-1)).try_cast("bigint").alias("quantity"),
-        name("руководитель").alias("manager_name"), name("представитель", "отк").alias("otk_representative"),
-    )
-    return out.where("action is not null")
+    action = _decided(F.try_element_at(acts, F.lit(-1)).text)
+    made = F.struct(
+        action.alias("action"), F.try_element_at(numbers, F.lit(-1)).try_cast("bigint").alias("quantity"), name("руководитель").alias("manager_name"),
+        name("представитель", "отк").alias("otk_representative"),
+    )
+    return F.when(action.isNotNull(), made)
+
+
+def final_decision(pages: DataFrame) -> DataFrame:
+    """(doc_id, action, quantity, manager_name, otk_representative) of documents with an action.
+
+    The last text with an action gives it; the last such text with digits gives the quantity. Names lie
+    50 to 400 pixels right of their labels; the last label with one wins.
+    """
+    return pages.select("doc_id", decision_of(F.col("analysis")).alias("d")).where("d is not null").select("doc_id", "d.*")

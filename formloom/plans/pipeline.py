@@ -15,6 +15,9 @@ HEADER = [
 ]
 
 
+_ROW = "struct<row_number:string,parameter:string,defect:string,fact_value:string,deviation:string,quantity:string,confidence:double,source_texts:array<string>>"
+
+
 def extract(detections: DataFrame, cells: DataFrame | None = None, prefer_table: bool = True) -> DataFrame:
     """One row for each document: header, defects, analysis, validation and metrics, nested.
 
@@ -22,28 +25,27 @@ def extract(detections: DataFrame, cells: DataFrame | None = None, prefer_table:
     blocks found by position, for documents that have some, unless prefer_table is false.
     """
     pages = H.extract_header(A.pages(detections))
-    row_type = "row_number string, parameter string, defect string, fact_value string, deviation string, quantity string, confidence double, source_texts array<string>"
-    flat = sections.defect_blocks(pages).select("doc_id", F.struct("block", "kind", "title", "headers", F.col("rows").cast(f"array<struct<{row_type.replace(' ', ':').replace(',:', ',')}>>").alias("rows")).alias("b"))
-    blocks = flat.groupBy("doc_id").agg(F.array_sort(F.collect_list("b")).alias("found"))
+    # all sections are expressions over a page's arrays: one shuffle gathers the page, and nothing is joined but cells
+    blocks = F.transform(
+        sections.blocks_of(F.col("defects"), F.col("width"), F.col("height")),
+        lambda b: F.struct(b.block.alias("block"), b["kind"].alias("kind"), b.title.alias("title"), b.headers.alias("headers"), b.rows.cast(f"array<{_ROW}>").alias("rows")),
+    )
+    wide = pages.select(
+        "doc_id", F.struct(*HEADER).alias("header"), blocks.alias("found"), sections.lines_of(F.col("analysis"), F.col("height")).alias("deviations"),
+        sections.decision_of(F.col("analysis")).alias("final_decision"), quality.report_of().alias("validation"), quality.fields_extracted().alias("header_fields"),
+    )
     if cells is not None and prefer_table:
         own = sections.defect_rows_of_cells(cells)
-        row = F.struct("row_idx", F.struct("row_number", "parameter", F.lit(None).cast("string").alias("defect"), "fact_value", "deviation", "quantity", "confidence", F.array().cast("array<string>").alias("source_texts")).alias("r"))
+        row = F.struct("row_idx", F.struct("row_number", "parameter", F.lit(None).cast("string").alias("defect"), "fact_value", "deviation", "quantity", "confidence", F.array().cast("array<string>").alias("source_texts")).cast(_ROW).alias("r"))
         block = lambda rows: F.struct(F.lit(0).alias("block"), F.lit("other").alias("kind"), F.lit("").alias("title"), F.array().cast("array<string>").alias("headers"), rows.alias("rows"))
         tables = own.groupBy("doc_id").agg(F.array(block(F.array_sort(F.collect_list(row))["r"])).alias("of_table"))
-        blocks = blocks.join(tables, "doc_id", "full").select("doc_id", F.coalesce("of_table", "found").alias("found"))
-    lines = sections.analysis_rows(pages)
-    rows = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*(c for c in lines.columns if c != "doc_id")))).alias("deviations"))
-    decided = sections.final_decision(pages).select("doc_id", F.struct("action", "quantity", "manager_name", "otk_representative").alias("final_decision"))
-    report = quality.mandatory_report(pages).select("doc_id", F.struct("total_fields_validated", "mandatory_fields_missing", "missing_count", "suspicious_fields", "errors").alias("validation"))
-    whole = pages.join(blocks, "doc_id", "left").join(rows, "doc_id", "left").join(decided, "doc_id", "left").join(report, "doc_id", "left")
-    defects = F.coalesce("found", F.array().cast(dict(blocks.dtypes)["found"]))
-    deviations = F.coalesce("deviations", F.array().cast(dict(rows.dtypes)["deviations"]))
+        wide = wide.join(tables, "doc_id", "left").withColumn("found", F.coalesce(F.col("of_table").cast(dict(wide.dtypes)["found"]), F.col("found")))
+    defects = F.col("found")
     metrics = F.struct(
-        quality.fields_extracted().alias("header_fields"), F.size(defects).alias("defect_blocks"),
-        F.aggregate(defects, F.lit(0), lambda a, b: a + F.size(b.rows)).alias("defect_rows"), F.size(deviations).alias("analysis_rows"),
+        "header_fields", F.size(defects).alias("defect_blocks"), F.aggregate(defects, F.lit(0), lambda a, b: a + F.size(b.rows)).alias("defect_rows"), F.size("deviations").alias("analysis_rows"),
         F.col("validation.missing_count").alias("mandatory_missing"),
     )
-    return whole.select("doc_id", F.struct(*HEADER).alias("header"), defects.alias("defects"), F.struct(deviations.alias("deviations"), "final_decision").alias("analysis"), "validation", metrics.alias("metrics"))
+    return wide.select("doc_id", "header", defects.alias("defects"), F.struct("deviations", "final_decision").alias("analysis"), "validation", metrics.alias("metrics"))
 
 
 def corrected_and_validated(detections: DataFrame) -> tuple[DataFrame, DataFrame]:
