@@ -237,3 +237,26 @@ def test_hub_of_a_large_component(spark):
     got = {r.node: r.root for r in connected(spark.createDataFrame(links, "u long, v long")).collect()}
     want = {i: 0 for i in range(1, 900)} | {i + 10000: 0 for i in range(1, 50)} | {20001: 20000, 20002: 20000}
     assert got == want
+
+
+def test_batches_are_cut_by_rows_and_bytes():
+    import pyarrow as pa
+
+    from formloom.llm.common import slices
+
+    texts = ["a" * n for n in (10, 500, 20, 30, 40)] + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["i", "text"])
+    got = list(slices([batch, batch.slice(0, 0)], 1, rows=3, text_bytes=100))
+    assert [x for b in got for x in b.column(0).to_pylist()] == list(range(7))
+    assert [b.num_rows for b in got] == [1, 1, 3, 2] and all(b.num_rows <= 3 for b in got)
+
+
+def test_no_folder_of_one_machine_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from formloom.llm.common import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default, set=lambda *a: None)
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
+    assert shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[4]"))).startswith("file://")
