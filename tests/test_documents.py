@@ -190,8 +190,16 @@ def test_templates_and_settings(spark, tmp_path):
     assert [(r.band, r.y_start, r.y_end) for r in rows] == [("header", 0, 33), ("defects", 33, 66), ("analysis", 66, 100)]
     assert tables.columns(spark, "nothing").count() == 0
     assert settings.load({"GAMMA_CORRECTION": "0.5", "enable_deskew": "false"}).gamma_correction == 0.5
-    with pytest.raises(ValueError):
-        settings.load({"illumination_kernel": "30"})
+    assert settings.load({"REGION_DETECTION_STRATEGY": "template", "BINARIZATION_MODE": "adaptive"}).region_detection_strategy == "template"
+    wrong = {"illumination_kernel": "30", "ILLUMINATION_KERNEL": "13", "binarization_mode": "other", "region_min_header_ratio": "1.5", "perspective_corner_epsilon": "0", "perspective_min_corner_distance": "0"}
+    for name, value in wrong.items():
+        with pytest.raises(ValueError):
+            settings.load({name: value})
+    (tmp_path / ".env").write_text("# a comment\nTEMPLATE_NAME='otk_v2'\nocr_pool_size=3\n")
+    assert settings.load({}, str(tmp_path / ".env")).template_name == "otk_v2"
+    own_file = tmp_path / "regions.json"
+    own_file.write_text('{"mine": [{"region_id": "all", "y_start_norm": 0, "y_end_norm": 1}]}')
+    assert templates.load_templates(spark, str(own_file)) == {"mine": [("all", 0.0, 1.0)]} and templates.load_templates(spark, str(tmp_path / "none.json")) == templates.DEFAULTS
 
 
 def test_documents_are_put_together_again(spark):

@@ -73,3 +73,12 @@ def test_cell_bounds(spark):
 @pytest.mark.parametrize("name, drop, suffix, want", [("a-cor.jpg", "-cor", "-texts.json", "a-texts.json"), ("a.b.png", "-cor", "-texts.json", "a.b-texts.json"), ("a-texts.json", "-texts", "-corrected.json", "a-corrected.json")])
 def test_file_names(spark, name, drop, suffix, want):
     assert one(spark, [(name,)], "t string", T.next_file_name(F.col("t"), drop, suffix)) == [want]
+
+
+def test_rounding_is_that_of_the_binary_value(spark):
+    import random
+
+    r = random.Random(3)
+    values = [k / 2000 for k in range(2001)] + [r.random() for _ in range(2000)] + [0.0625, 0.1875, 0.0005, 0.9995, 2.0005, 123456.0005, -0.0015, -0.0625]
+    got = [x.v for x in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c double").orderBy("i").select(G.round3(F.col("c")).alias("v")).collect()]
+    assert got == [round(v, 3) for v in values]
