@@ -71,6 +71,19 @@ def runs(indexed: DataFrame, key: str, index: str) -> DataFrame:
     ).drop("_formloom_island")
 
 
+def longest(found: DataFrame, key: str, most: int = 2) -> DataFrame:
+    """(key, place, middle) of the longest runs of each key, the first of those as long, in the order of their middles."""
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col("run_start") - F.col("run_end"), "run_start"))
+    top = found.withColumn("_formloom_rank", rank).where(F.col("_formloom_rank") <= most).withColumn("middle", (F.col("run_start") + F.col("run_end")) / 2)
+    return top.select(key, F.row_number().over(Window.partitionBy(key).orderBy("middle")).alias("place"), "middle")
+
+
+def quiet(values: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
+    """The rows whose value is at most the share's percentile (between two ranks interpolated) of their keys."""
+    limit = values.groupBy(*keys).agg(F.percentile(value, share).alias("_formloom_limit"))
+    return values.join(limit, keys).where(F.col(value) <= F.col("_formloom_limit")).drop("_formloom_limit")
+
+
 def moving_average(values: DataFrame, key: str, index: str, value: str, window: int) -> DataFrame:
     """Adds smooth: a box of ``window`` over the values, with zeros beyond the ends, always divided by ``window``."""
     before, after = window // 2, window - 1 - window // 2

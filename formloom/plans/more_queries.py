@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formloom.operators import anchors as A
@@ -75,9 +75,12 @@ def index_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY middle) AS INT) AS place, middle FROM top"""
 )
 def longest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy((F.col("run_start") - F.col("run_end")), "run_start"))
-    top = _bands(spark, sf_dir).withColumn("rank", rank).where("rank <= 2").withColumn("middle", (F.col("run_start") + F.col("run_end")) / 2)
-    return top.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("middle")).alias("place"), "middle")
+    return L.longest(_bands(spark, sf_dir), "doc_id")
+
+
+@query(f"{_DET} SELECT doc_id, region_id, det_idx FROM det QUALIFY cy <= quantile_cont(cy, 0.2) OVER (PARTITION BY doc_id, region_id)")
+def quiet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.quiet(detections(spark, sf_dir), ["doc_id", "region_id"], "cy", 0.2).select("doc_id", "region_id", "det_idx")
 
 
 @query(f"{_DET} SELECT doc_id, det_idx, round(sum(confidence) OVER (PARTITION BY doc_id ORDER BY det_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5, 9) AS smooth FROM det")
