@@ -38,7 +38,7 @@ def page_size_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections(spark, sf_dir).select("doc_id", "det_idx", G.page_width(F.when(i % 3 != 0, 1000 + i)).alias("width"), G.page_height(F.when(i % 4 != 0, 2000 + i)).alias("height"))
 
 
-@query(_DET + " SELECT doc_id, det_idx, round(cy / CAST(height AS DOUBLE), 9) AS y, length(text) AS char_count FROM det")
+@query(_DET + " SELECT doc_id, det_idx, round(cy / CAST(height AS DOUBLE), 9) AS y, CAST(length(text) AS INT) AS char_count FROM det")
 def normalised_y(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections(spark, sf_dir).select("doc_id", "det_idx", F.round(G.normalise_y(F.col("cy"), F.col("height")), 9).alias("y"), F.char_length("text").alias("char_count"))
 
