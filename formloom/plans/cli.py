@@ -118,7 +118,7 @@ def _process(spark: SparkSession, path: str, output: str, mode: str, s: settings
     if mode in ("extract", "pipeline"):
         data = write_data(done if done is not None else files, output, keep)
     sinks.write_summary(summary(files, done, data), output, f"{datetime.datetime.now():%Y%m%d_%H%M%S}")
-    for r in files.where("status <> 'ok'").select("file_name", "error").collect():  # the files that failed, to be told
+    for r in files.where("status <> 'ok'").select("file_name", "error").toLocalIterator():
         log.error("%s: %s", r.file_name, r.error)
     return files.where("status <> 'ok'").isEmpty()
 

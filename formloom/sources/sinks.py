@@ -21,8 +21,8 @@ def write_json(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_files(files: DataFrame, path: str) -> DataFrame:
-    """files(name, content) -> (name, size), with a file of that name in the folder for each row.
+def write_files(files: DataFrame, path: str) -> tuple[int, int]:
+    """files(name, content): a file of that name in the folder for each row; how many files and bytes were written.
 
     The executors write, through Arrow's file systems, so path may lie wherever these and Spark reach. A
     task that runs again writes the same names again. content: text or binary.
@@ -43,7 +43,7 @@ def write_files(files: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], ["name", "size"])
 
     written = files.select("name", content.alias("content")).where("name is not null and content is not null").mapInArrow(run, "name string, size bigint")
-    return files.sparkSession.createDataFrame(written.collect(), written.schema)  # a name and a size for each file
+    return tuple(written.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first())
 
 
 def as_json(documents: DataFrame, name: Column) -> DataFrame:
@@ -52,12 +52,12 @@ def as_json(documents: DataFrame, name: Column) -> DataFrame:
     return documents.select(name.alias("name"), F.to_json(own, {"ignoreNullFields": "false"}).alias("content"))
 
 
-def write_documents(documents: DataFrame, path: str, drop: str, suffix: str) -> DataFrame:
+def write_documents(documents: DataFrame, path: str, drop: str, suffix: str) -> tuple[int, int]:
     """A JSON file for each document, named after doc_id: its stem less ``drop`` at the end, then suffix."""
     return write_files(as_json(documents, next_file_name(F.col("doc_id"), drop, suffix)), path)
 
 
-def write_pages(pages: DataFrame, path: str, suffix: str = "-cor") -> DataFrame:
+def write_pages(pages: DataFrame, path: str, suffix: str = "-cor") -> tuple[int, int]:
     """Preprocessed pages as PNG files ``<stem><suffix>.png``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -68,7 +68,7 @@ def write_pages(pages: DataFrame, path: str, suffix: str = "-cor") -> DataFrame:
     return write_files(pages.where("status = 'ok'").select(name.alias("name"), "height", "width", "data").mapInArrow(run, "name string, content binary"), path)
 
 
-def write_summary(results: DataFrame, path: str, stamp: str) -> DataFrame | None:
+def write_summary(results: DataFrame, path: str, stamp: str) -> tuple[int, int] | None:
     """results(doc_id, status, seconds, ...) -> ``batch_summary_<stamp>.json``: totals and a row for each file; nothing for a batch without files."""
     if results.isEmpty():
         return None
