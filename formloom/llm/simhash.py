@@ -31,19 +31,36 @@ from formloom.llm.components import connected
 BITS = 64
 _HOT_SHARE = 256
 _HASHES_AT_ONCE = 1 << 15
+_TO_SPACE = bytes(0x20 if 0x09 <= i <= 0x0D else i for i in range(256))
 
 
-def _spans(text: str | None, words: int) -> tuple[bytes, list[int], list[int]]:
-    """The normalised text and where its shingles begin and end; none for texts without a word."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not parts:
-        return b"", [], []
-    flat = b" ".join(parts)
-    if len(parts) <= words:
-        return flat, [0], [len(flat)]
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    return flat, starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist()
+def _flat(text: str | None) -> bytes:
+    """The words of a text as shingles have them, a space between two; equal ones are one text."""
+    plain = (text or "").encode("utf-8", "surrogatepass").lower().translate(_TO_SPACE)
+    blank = np.frombuffer(plain, np.uint8) == 0x20
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]  # the first of several spaces
+    return np.frombuffer(plain, np.uint8)[keep].tobytes().strip(b" ")
+
+
+def _spans(flat: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the shingles of a flat text begin and end; none for one without a word."""
+    if not flat:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.append(np.flatnonzero(np.frombuffer(flat, np.uint8) == 0x20), len(flat))
+    if len(ends) <= words:
+        return np.array([0]), np.array([len(flat)])
+    starts = np.append(0, ends[:-1] + 1)
+    return starts[: len(ends) - words + 1], ends[words - 1 :]
+
+
+def _hashes(flat: bytes, words: int) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles in order, some at a time."""
+    first, last = _spans(flat, words)
+    digest = xxhash.xxh64_intdigest
+    for at in range(0, len(first), _HASHES_AT_ONCE):
+        some = slice(at, at + _HASHES_AT_ONCE)
+        yield np.array([digest(flat[a:b], 42) for a, b in zip(first[some].tolist(), last[some].tolist())], np.uint64)
 
 
 def _majority(counts: np.ndarray, n: int) -> int:
@@ -57,19 +74,17 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int = 3) -> int:
     """Unsigned SimHash of one text; 0 for null and for texts without a word."""
-    flat, first, last = _spans(text, words)
-    digest = xxhash.xxh64_intdigest
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(first), _HASHES_AT_ONCE):
-        hashes = [digest(flat[a:b], 42) for a, b in zip(first[at : at + _HASHES_AT_ONCE], last[at : at + _HASHES_AT_ONCE])]
-        counts += _bit_counts(np.array(hashes, np.uint64))
-    return _majority(counts, len(first))
+    counts, n = np.zeros(BITS, np.int64), 0
+    for hashes in _hashes(_flat(text), words):
+        counts += _bit_counts(hashes)
+        n += len(hashes)
+    return _majority(counts, n)
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
     """The distinct hashes of a text's shingles, sorted (uint64); none for texts without a word."""
-    flat, first, last = _spans(text, words)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(flat[a:b], 42) for a, b in zip(first, last)), np.uint64, len(first)))
+    parts = list(_hashes(_flat(text), words))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -328,11 +343,6 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 4,
     return survivors(docs, prints, connected(links(distinct, radius, blocks, bucket_rows)))
 
 
-def _flat(text: str | None) -> bytes:
-    """The words of a text as shingles have them; equal ones are one node."""
-    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) if text else b""
-
-
 def _node(flat: bytes) -> int:
     return xxhash.xxh64_intdigest(flat, 7)
 
@@ -348,9 +358,9 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
     """A bitmap of _FILTER_BITS with a bit for each node: of one size whatever their number, built by the executors."""
     place = F.col("node").bitwiseAND(F.lit(_FILTER_BITS - 1))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = nodes.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    words = nodes.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     out = np.zeros(_FILTER_BITS // 64, np.int64)
-    out[[r.word for r in words]] = [r.bits for r in words]
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
