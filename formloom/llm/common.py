@@ -59,6 +59,12 @@ def is_scan(df: DataFrame) -> bool:
     return plan.nodeName() == "LogicalRelation" or plan.nodeName().startswith("Relation")
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Files are split alike from now on: without this, the size of splits of a small input follows the number of executors that are left."""
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -8,8 +8,9 @@
    are the same exchange. An n-gram of one chunk only needs no row: its chunk knows its count.
 3. The joined rows go back to their chunks and meet the documents there, whose scores are summed.
 
-The hash space is worked through in ``rounds`` equal ranges, and the chunks in as many groups: a round's
-rows are on disk only while it lasts, whatever the size of the input.
+The hash space is worked through in ``hash_rounds`` equal parts, and the chunks in ``chunk_rounds`` groups:
+a round's shuffle is on disk only while it lasts, whatever the size of the input. Hashes deal rows evenly, so
+the count table is joined as a hash table for each partition, without sorting.
 
 A document's own occurrences are taken off every count, or every n-gram would be a known one. For a
 word w after u, v: c(uvw) / c(uv) if c(uvw) > 0; else alpha c(vw) / c(v) if c(vw) > 0; else alpha^2
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut, drop_cut, is_scan, small_batches, word_count
+from formloom.llm.common import cut, drop_cut, is_scan, pin_splits, small_batches
 
 _U = np.uint64
 
@@ -39,21 +40,53 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_CHARS_AT_ONCE = 1 << 20
+
+
+def _spread(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some texts end to end: where each ends and begins, the size of each word, where it begins, and the words' bytes in lower case."""
+    held = pa.array([t or "" for t in texts], pa.large_string())
+    edges = np.frombuffer(held.buffers()[1], np.int64)[: len(held) + 1] if len(held) else np.zeros(1, np.int64)
+    data = _LOWER[np.frombuffer(held.buffers()[2], np.uint8)[edges[0] : edges[-1]]] if edges[-1] > edges[0] else np.zeros(0, np.uint8)
+    edges = edges - edges[0]
+    solid = ~_BLANK[data]
+    apart = np.zeros(len(data) + 1, bool)  # a text begins here, so what is before is no part of a word
+    apart[edges] = True
+    begin = np.flatnonzero(solid & (apart[:-1] | ~np.append(False, solid[:-1])))
+    size = np.flatnonzero(solid & (apart[1:] | ~np.append(solid[1:], False))) + 1 - begin
+    return edges, size, begin, data[solid]
+
+
+def _word_hashes(chars: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of chars, which holds them end to end: a polynomial of its bytes, mixed with its length."""
+    out = np.zeros(len(size), _U)
+    if not len(size):
+        return out
+    powers = np.cumprod(np.full(int(size.max()), 0xD6E8FEB86659FD93, _U), dtype=_U)
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        low = int(ends[at] - size[at])
+        until = max(at + 1, int(np.searchsorted(ends, low + _CHARS_AT_ONCE, "right")))
+        own, high = size[at:until], int(ends[until - 1])
+        first = np.cumsum(own) - own
+        within = np.arange(high - low, dtype=np.int32) - np.repeat(first.astype(np.int32), own)
+        out[at:until] = np.add.reduceat((chars[low:high].astype(_U) + _U(1)) * powers[within], first)
+        at = until
+    return _mix(out + size.astype(_U))
+
+
 class Grams:
     """n-gram hashes at every position of some texts; position i holds the n-gram that ends there."""
 
     def __init__(self, texts: list[str | None], order: int):
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = pc.list_flatten(lists)
-        filled = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-        if not filled.all():
-            counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[filled], minlength=len(counts))
-            flat = flat.filter(pa.array(filled))
-        coded = flat.dictionary_encode()
-        digest = xxhash.xxh64_intdigest
-        kinds = np.array([digest(w.encode("utf-8")) for w in coded.dictionary.to_pylist()], _U)
-        words = kinds[coded.indices.to_numpy(zero_copy_only=False)] if len(kinds) else np.zeros(0, _U)
+        edges, size, begin, chars = _spread(texts)
+        words = _word_hashes(chars, size)
+        counts = np.diff(np.searchsorted(begin, edges))
+        self._kinds: dict[int, tuple[np.ndarray, ...]] = {}
         self.counts = counts  # words of each text
         self.doc = np.repeat(np.arange(len(counts)), counts)
         self.at = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)  # place in the text
@@ -65,8 +98,10 @@ class Grams:
 
     def kinds(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of order n: positions that end an n-gram, distinct hashes, each position's hash number, counts."""
-        spots = np.flatnonzero(self.at >= n - 1)
-        return spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
+        if n not in self._kinds:
+            spots = np.flatnonzero(self.at >= n - 1)
+            self._kinds[n] = spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
+        return self._kinds[n]
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -123,12 +158,13 @@ def score_texts(grams: Grams, others: list[np.ndarray], total_words: int, alpha:
     return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * (order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 8 << 20, rounds: int = 4) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, n_words, log_score, perplexity, seen), a row for each row.
+def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 8 << 20, hash_rounds: int = 4, chunk_rounds: int = 4) -> DataFrame:
+    """docs(doc_id, text, ...) -> (doc_id, n_words, log_score, perplexity, seen, seen_share), a row for each row.
 
     Words are lower-cased (A-Z) runs of non-space. log_score: the sum over the document's words of the
     natural logs of their scores; perplexity: exp(-log_score / n_words); seen: words that an
-    n-gram of the full order served. Null texts and texts without words: 0 words, log_score 0, null
+    n-gram of the full order served; seen_share: of the words that have such an n-gram, 1 where every one of
+    them occurs in another document, null where there is none. Null texts and texts without words: 0 words, log_score 0, null
     perplexity. Rows that repeat an id are documents of their own. Other columns are ignored; an empty
     table gives an empty result. The texts are read several times: docs that are more than a scan of
     files are written to the shared folder first. Two of n different n-grams share a hash with a chance of about n^2 / 2^65.
@@ -138,8 +174,14 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
     kind = dict(docs.dtypes)["doc_id"]
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     plain = plain if is_scan(plain) else cut(plain, "texts")
+    pin_splits(spark)  # a chunk must be the same rows in every scan
     blocks = plain.select(F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"), "doc_id", "text")
-    total_words = int(plain.agg(F.coalesce(F.sum(word_count(F.col("text"))), F.lit(0))).first()[0])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int(_spread(b.column(0).to_pylist())[1].size)])], ["words"])
+
+    total_words = int(plain.select("text").mapInArrow(counted, "words bigint").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0])
 
     def exploded(part: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +189,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
                 grams = Grams([t for b in own for t in b.column(2).to_pylist()], order)
                 for n in range(1, order + 1):
                     hashes = grams.hashes[n - 1][grams.at >= n - 1]
-                    hashes, counts = np.unique(hashes[hashes % _U(rounds) == _U(part)], return_counts=True)
+                    hashes, counts = np.unique(hashes[hashes % _U(hash_rounds) == _U(part)], return_counts=True)
                     for at in range(0, len(hashes), 65536):
                         some = hashes[at : at + 65536].view(np.int64)
                         yield pa.RecordBatch.from_arrays(
@@ -162,7 +204,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
             grams.groupBy("hash").agg(F.sum("n").alias("total"), F.min("chunk").alias("one"), F.max("chunk").alias("other"))
             .where("one < other").select("hash", "total")
         )
-        return grams.join(totals.hint("merge"), "hash").select("chunk", "hash", (F.col("total") - F.col("n")).alias("others"))
+        return grams.join(totals.hint("shuffle_hash"), "hash").select("chunk", "hash", (F.col("total") - F.col("n")).alias("others"))
 
     def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
         rows = rows.sort_by("spot")
@@ -180,15 +222,18 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
             perplexity = np.exp(-log / words)
         return pa.Table.from_arrays(
-            [rows.column("doc_id"), pa.array(words, pa.int64()), pa.array(log, pa.float64()), pa.array(perplexity, pa.float64(), mask=words == 0), pa.array(served[:, order], pa.int64())],
-            ["doc_id", "n_words", "log_score", "perplexity", "seen"],
+            [
+                rows.column("doc_id"), pa.array(words, pa.int64()), pa.array(log, pa.float64()), pa.array(perplexity, pa.float64(), mask=words == 0), pa.array(served[:, order], pa.int64()),
+                pa.array(served[:, order] / np.maximum(1, words - order + 1), pa.float64(), mask=words < order),
+            ],
+            ["doc_id", "n_words", "log_score", "perplexity", "seen", "seen_share"],
         )
 
     def scored(part: int, counts: DataFrame) -> DataFrame:
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for chunk, own in _chunked(batches, chunk_chars):
                 at = 0
-                for b in own if chunk % rounds == part else ():
+                for b in own if chunk % chunk_rounds == part else ():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(b.num_rows, chunk), pa.int64()), pa.array(np.arange(at, at + b.num_rows), pa.int64()), b.column(1), b.column(2)],
                         ["chunk", "spot", "doc_id", "text"],
@@ -196,16 +241,16 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
                     at += b.num_rows
 
         here = blocks.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
-        met = counts.where(F.pmod("chunk", F.lit(rounds)) == part)
+        met = counts.where(F.pmod("chunk", F.lit(chunk_rounds)) == part)
         return here.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(
-            score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint"
+            score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint, seen_share double"
         )
 
-    tables = [cut(joined(part), "counts") for part in range(rounds)]
+    tables = [cut(joined(part), "counts") for part in range(hash_rounds)]
     counts = tables[0]
     for more in tables[1:]:
         counts = counts.unionByName(more)
-    done = [cut(scored(part, counts), "scores") for part in range(rounds)]
+    done = [cut(scored(part, counts), "scores") for part in range(chunk_rounds)]
     for t in tables:
         drop_cut(t)
     out = done[0]

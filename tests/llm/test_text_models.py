@@ -234,7 +234,8 @@ def test_backoff_scores_are_those_of_brute_force(spark, order):
     got = {r.doc_id: r for r in lm.backoff_scores(docs, order=order, chunk_chars=20000).collect()}
     for (doc_id, _), (n, log) in zip(rows, brute_force([t for _, t in rows], order)):
         assert got[doc_id].n_words == n and got[doc_id].log_score == pytest.approx(log, abs=1e-8)
-    assert got[1000].perplexity is None and got[1001].n_words == 0
+    assert got[1000].perplexity is None and got[1001].n_words == 0 and got[1001].seen_share is None
+    assert got[1002].seen_share == got[rows[0][0]].seen_share == 1.0 and got[1003].seen_share is None  # a text that occurs twice
     scanned = lm.backoff_scores(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), order=order, chunk_chars=20000, hash_rounds=2, chunk_rounds=3).collect()
     whole = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
     for r, (n, log) in zip(sorted(scanned, key=lambda r: r.doc_id), brute_force(whole, order)):
