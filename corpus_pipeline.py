@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from formloom.llm import langid, mixing, packing, simhash, toxicity
-from formloom.llm.common import cut, table
+from formloom.llm.common import CUTS, cut, drop_cuts, table
 
 
 #: Above the scores of nearly all texts of random letters (2 of 500 pass), below those of nearly all held-out documents told right.
@@ -52,13 +52,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is a table of its own in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = cut(docs, f"stage{i}")
-    return docs
+    """All stages over documents; what each but the last returns is a table of its own in the shared folder, as long as it is read."""
+    docs, since = table(spark, sf_dir, "documents"), len(CUTS)
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = cut(stage(spark, docs, sf_dir), f"stage{i}")
+        drop_cuts(spark, since, docs)  # the stage's own tables, and the one that it has read
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 #: The models of the first two stages have no SQL form; tests/llm holds the stages against brute force.

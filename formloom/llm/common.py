@@ -110,12 +110,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._formloom_cut = path
+    CUTS.append(path)
     return out
 
 
+#: Paths of the tables that cut() has made and that have not been dropped.
+CUTS: list[str] = []
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table made by cut() that nothing reads any more."""
     path = getattr(df, "_formloom_cut", None)
-    if path:
-        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if path in CUTS:
+        _drop(df.sparkSession, path)
+
+
+def drop_cuts(spark: SparkSession, since: int, but: DataFrame) -> None:
+    """Delete all tables made by cut() since CUTS had that many entries, but one that is still to be read."""
+    for path in [p for p in CUTS[since:] if p != getattr(but, "_formloom_cut", None)]:
+        _drop(spark, path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    CUTS.remove(path)

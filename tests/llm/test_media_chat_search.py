@@ -424,3 +424,14 @@ def test_all_columns_of_the_media_query(spark):
         last = (len(payload) - 1) // 4096
         assert tuple(got[i]) == (i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, last + 1, last * 4096)
     assert tuple(got[3])[1:] == tuple(got[4])[1:]
+
+
+def test_run_leaves_only_tables_that_its_result_reads(spark):
+    import corpus_pipeline
+    from formloom.llm.common import CUTS
+
+    since = len(CUTS)
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = CUTS[since:]
+    assert len(left) == 2 and "stage3" in left[0] and "items" in left[1]  # the documents of the mix, and what packing takes of them
+    assert packed.count() > 0 and set(packed.columns) >= {"shard", "bin", "doc_id", "n_words"}
