@@ -154,6 +154,11 @@ def _best_of_id(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return score if len(first) + 1 >= len(ids) else np.maximum.reduceat(score[:, order], np.concatenate(([0], first)), axis=1)
 
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products, row by row, added up from the first component on: the same bits in every engine that does so."""
+    return np.add.accumulate(a * b, axis=1)[:, -1]
+
+
 def best_pairs(
     x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, tree: int, q: np.ndarray, query_ids: np.ndarray, seen: list[np.ndarray], bound: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,7 +182,7 @@ def best_pairs(
         floor = np.maximum(floor, -np.partition(-by_id, k - 1, axis=1)[:, k - 1])
     slack = _EPS * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)))
     i, j = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
-    score = np.concatenate([(x[j[a : a + 65536]] * q[i[a : a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
+    score = np.concatenate([_products(x[j[a : a + 16384]], q[i[a : a + 16384]]) for a in range(0, len(i), 16384)]) if len(i) else np.zeros(0)
     order = np.lexsort((-score, ids[j], i))
     i, j, score = i[order], j[order], score[order]
     best = np.ones(len(i), bool)

@@ -71,7 +71,8 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.backoff_scores(table(spark, sf_dir, "documents"))
+    # sums of logarithms differ in their last digits with the order of the sum
+    return lm.backoff_scores(table(spark, sf_dir, "documents")).withColumns({c: F.round(c, 4) for c in ("log_score", "perplexity")})
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,5 +191,45 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        coalesce(arg_min('turn ' || (i - 1) || ': ' || role || ' after ' || before, i) FILTER (NOT ok),
                 max('ends with ' || role) FILTER (from_end = 1 AND role <> 'assistant')) AS problem
 FROM judged GROUP BY conv_id
+""",
+    # exact search: what op7 gives where its least number of rows is the whole table, and what its recall is held against elsewhere
+    "op7_ann": r"""
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, max(list_inner_product(a.e, b.e)) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+""",
+    "op9_lm": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), spots AS (
+  SELECT r, len(ws) AS n, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM docs
+), grams AS (
+  SELECT *, lag(w) OVER s || ' ' || w AS g2, lag(w, 2) OVER s || ' ' || lag(w) OVER s || ' ' || w AS g3 FROM spots WINDOW s AS (PARTITION BY r ORDER BY i)
+), free AS (
+  SELECT r, n, i, (SELECT count(*) FROM spots) - n AS rest,
+         count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY r, w) AS f1,
+         CASE WHEN i >= 2 THEN count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY r, g2) ELSE 0 END AS f2,
+         CASE WHEN i >= 3 THEN count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY r, g3) ELSE 0 END AS f3
+  FROM grams
+), known AS (
+  SELECT *, lag(f1) OVER s AS p1, lag(f2) OVER s AS p2, least(i, 3) AS top FROM free WINDOW s AS (PARTITION BY r ORDER BY i)
+), scored AS (
+  SELECT r, sum(CASE WHEN f3 > 0 THEN ln(f3) - ln(p2) WHEN f2 > 0 THEN ln(f2) - ln(p1) + (top - 2) * ln(0.4::DOUBLE)
+                     WHEN f1 > 0 THEN ln(f1) - ln(rest) + (top - 1) * ln(0.4::DOUBLE) ELSE top * ln(0.4::DOUBLE) - ln(rest + 1) END) AS log_score,
+         count_if(f3 > 0) AS seen
+  FROM known GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(coalesce(log_score, 0), 4) AS log_score,
+       CASE WHEN len(ws) > 0 THEN round(exp(-log_score / len(ws)), 4) END AS perplexity, CAST(coalesce(seen, 0) AS BIGINT) AS seen,
+       CASE WHEN len(ws) >= 3 THEN seen / CAST(len(ws) - 2 AS DOUBLE) END AS seen_share
+FROM docs LEFT JOIN scored USING (r)
 """,
 }
