@@ -435,3 +435,31 @@ def test_run_leaves_only_tables_that_its_result_reads(spark):
     left = CUTS[since:]
     assert len(left) == 2 and "stage3" in left[0] and "items" in left[1]  # the documents of the mix, and what packing takes of them
     assert packed.count() > 0 and set(packed.columns) >= {"shard", "bin", "doc_id", "n_words"}
+
+
+def test_all_stages_over_odd_rows(spark):
+    """Nulls in every column, empty and long texts, repeated rows, clashing names, an empty table: each stage gives rows of its input."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    extra = ["node", "fp", "h", "n", "size", "copies", "taken", "n_words", "cluster", "shard", "bin", "score", "lang_pred", "skey", "row_hash", "toxic", "keys", "head", "text_hash", "salt", "deal", "share", "piece"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    tail = tuple("x" for _ in extra)
+    first = plain.first()
+    odd = [
+        (None, None, None, None, None, *(None for _ in extra)), (None, None, None, None, None, *(None for _ in extra)), (900001, "", "en", None, 0, *tail), (900002, " \t\n", None, "s", 3, *tail),
+        (900003, first.text * 400, first.lang, first.source, 1, *tail), (first.doc_id, first.text, first.lang, first.source, first.n_chars, *tail), (first.doc_id, first.text, first.lang, first.source, first.n_chars, *tail),
+        (None, first.text, None, None, None, *tail), (900004, "a", "en", "s", 1, *tail), (900005, "42 ###", "xx", "s", 6, *tail), (900006, "\x00é😀 ퟿", "fr", "s", 4, *tail),
+    ]
+    docs = spark.createDataFrame([(r.doc_id, r.text, r.lang, r.source, r.n_chars, *tail) for r in plain.collect()] + odd, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        known = {str(r) for r in docs.collect()}
+        out = stage(spark, docs, sf)
+        rows = out.collect()
+        if name.startswith("best-fit"):
+            assert sum(r.n_words for r in rows) == sum(len((r.text or "").split()) for r in docs.collect()) and len(rows) >= docs.count()
+        else:
+            assert out.columns == docs.columns and {str(r) for r in rows} <= known, name
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    assert len(known) > 150
