@@ -20,7 +20,7 @@ document the n-grams are shorter, and nothing is paid for that. N: words of all
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +86,6 @@ class Grams:
         edges, size, begin, chars = _spread(texts)
         words = _word_hashes(chars, size)
         counts = np.diff(np.searchsorted(begin, edges))
-        self._kinds: dict[int, tuple[np.ndarray, ...]] = {}
         self.counts = counts  # words of each text
         self.doc = np.repeat(np.arange(len(counts)), counts)
         self.at = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)  # place in the text
@@ -98,10 +97,8 @@ class Grams:
 
     def kinds(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of order n: positions that end an n-gram, distinct hashes, each position's hash number, counts."""
-        if n not in self._kinds:
-            spots = np.flatnonzero(self.at >= n - 1)
-            self._kinds[n] = spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
-        return self._kinds[n]
+        spots = np.flatnonzero(self.at >= n - 1)
+        return spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -131,18 +128,18 @@ def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tu
         yield name(), held
 
 
-def score_texts(grams: Grams, others: list[np.ndarray], total_words: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(grams: Grams, others: Callable[[np.ndarray], np.ndarray], total_words: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
     """Sum of the log scores of each text, and how many positions each order served (order 0: unseen words).
 
-    others[n - 1]: for each distinct n-gram, its count in the corpus less that in these texts.
+    others: from distinct hashes to the counts of their n-grams in the corpus less those in these texts.
     """
-    order, size = len(others), len(grams.hashes[0])
+    order, size = len(grams.hashes), len(grams.hashes[0])
     free = np.zeros((order + 1, size))  # counts without the own document, by order and position
     for n in range(1, order + 1):
         spots, hashes, number, counts = grams.kinds(n)
         own_key = grams.doc[spots] * np.int64(len(hashes) + 1) + number
         _, back, own = np.unique(own_key, return_inverse=True, return_counts=True)
-        free[n, spots] = (others[n - 1] + counts)[number] - own[back]
+        free[n, spots] = (others(hashes) + counts)[number] - own[back]
     rest = total_words - grams.counts[grams.doc]
     top = np.minimum(grams.at + 1, order)
     log, served = np.zeros(size), np.zeros(size, np.int64)
@@ -158,7 +155,7 @@ def score_texts(grams: Grams, others: list[np.ndarray], total_words: int, alpha:
     return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * (order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 8 << 20, hash_rounds: int = 4, chunk_rounds: int = 4) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 6 << 20, hash_rounds: int = 4, chunk_rounds: int = 4) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, n_words, log_score, perplexity, seen, seen_share), a row for each row.
 
     Words are lower-cased (A-Z) runs of non-space. log_score: the sum over the document's words of the
@@ -212,11 +209,11 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
         known = counts.column("hash").to_numpy().view(_U)
         by_hash = np.argsort(known)
         known, found = known[by_hash], counts.column("others").to_numpy()[by_hash]
-        others = []
-        for n in range(1, order + 1):
-            hashes = grams.kinds(n)[1]
+
+        def others(hashes: np.ndarray) -> np.ndarray:
             at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-            others.append(np.where(known[at] == hashes, found[at], 0) if len(known) else np.zeros(len(hashes), np.int64))
+            return np.where(known[at] == hashes, found[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
+
         log, served = score_texts(grams, others, total_words, alpha)
         words = grams.counts
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
