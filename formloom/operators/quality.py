@@ -62,12 +62,17 @@ def mandatory_missing(header: DataFrame) -> DataFrame:
     return wanted.join(long_fields(header, MANDATORY).select("doc_id", "field"), ["doc_id", "field"], "left_anti")
 
 
+def _below(confidence: Column, least: float) -> Column:
+    """Below the threshold by more than the last digits, in which a mean differs with the order of its sum: three of 0.7 have a mean of 0.7."""
+    return F.round(confidence, 9) < least
+
+
 def report_of(least: float = 0.7) -> Column:
     """(total_fields_validated, mandatory_fields_missing, missing_count, suspicious_fields, errors) of a document's header columns, see mandatory_report."""
     missing = F.filter(F.array(*(F.when(F.col(n).isNull(), n) for n in MANDATORY)), lambda x: x.isNotNull())
-    low = F.filter(F.array(*(F.when(F.col(n).confidence < least, n) for n in MANDATORY)), lambda x: x.isNotNull())
+    low = F.filter(F.array(*(F.when(_below(F.col(n).confidence, least), n) for n in MANDATORY)), lambda x: x.isNotNull())
     note = lambda n: F.when(F.col(n).isNull(), F.struct(F.lit(n).alias("field"), F.lit("Field is missing").alias("message"), F.lit("error").alias("severity"))).when(
-        F.col(n).confidence < least,
+        _below(F.col(n).confidence, least),
         F.struct(F.lit(n).alias("field"), F.format_string("Low confidence: %.3f", F.col(n).confidence).alias("message"), F.lit("warning").alias("severity")),
     )
     errors = F.filter(F.array(*map(note, MANDATORY)), lambda x: x.isNotNull())
@@ -98,6 +103,6 @@ def with_required_fields(results: DataFrame, header: DataFrame) -> DataFrame:
     """results left join header fields by doc_id: each field as (value, confidence, suspicious), defaults where there is none."""
     def shown(n: str) -> Column:
         f = F.col(n)
-        return F.struct(f.value.alias("value"), F.coalesce(f.confidence, F.lit(0.0)).alias("confidence"), F.coalesce(f.confidence < 0.7, F.lit(False)).alias("suspicious")).alias(n)
+        return F.struct(f.value.alias("value"), F.coalesce(f.confidence, F.lit(0.0)).alias("confidence"), F.coalesce(_below(f.confidence, 0.7), F.lit(False)).alias("suspicious")).alias(n)
 
     return results.join(header.select("doc_id", *SUMMARY_FIELDS), "doc_id", "left").select(*results.columns, *map(shown, SUMMARY_FIELDS))

@@ -98,6 +98,18 @@ def test_mandatory_report(spark):
     assert {r.field for r in quality.mandatory_missing(header).collect()} == set(report.mandatory_fields_missing)
 
 
+def test_a_mean_at_the_threshold_is_not_below_it(spark):
+    """Floating point puts the mean of the first page's date below 0.7."""
+    dated = lambda *cs: [det("Дата", 2200, 100), *(det(t, x, 160, c) for t, x, c in zip(["15", "10", "2025"], (2160, 2200, 2240), cs))]
+    header = H.extract_header(A.pages(frame(spark, a=dated(0.41, 0.7, 0.99), b=dated(0.41, 0.7, 0.98)))).persist()
+    assert 0.6999 < header.where("doc_id = 'a'").first().act_date.confidence < 0.7
+    reports = quality.mandatory_report(header).orderBy("doc_id").collect()
+    assert [r.suspicious_fields for r in reports] == [[], ["act_date"]]
+    assert [[e.field for e in r.errors if e.severity == "warning"] for r in reports] == [[], ["act_date"]]
+    shown = quality.with_required_fields(header.select("doc_id"), header).orderBy("doc_id").collect()
+    assert [s.act_date.suspicious for s in shown] == [False, True]
+
+
 def document(boxes):
     return {
         "document_info": {"source_file": "a.jpg", "image_width": 2480, "image_height": 3508}, "text_regions": [],
