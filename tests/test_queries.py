@@ -2,6 +2,7 @@
 
 import math
 import os
+import uuid
 
 import duckdb
 import pytest
@@ -39,3 +40,32 @@ def test_query(spark, duck, name):
     got = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
     place = [want.columns.index(c) for c in columns]
     assert got == sorted(tuple(plain(r[i]) for i in place) for r in want.fetchall())
+
+
+def test_corrected_files_in_rounds(spark, tmp_path, monkeypatch):
+    """More rows than a round has: only a round's files are there at once, none stay, and the result is that of one round."""
+    seen, write = [], file_queries.sinks.write_documents
+    held = lambda: sum(len(list(d.glob("form-*"))) for d in tmp_path.glob("formloom-*"))
+
+    def watched(*args):
+        before = held()
+        written = write(*args)
+        seen.append((written[0], before, held()))
+        return written
+
+    monkeypatch.setattr(file_queries.sinks, "write_documents", watched)
+    monkeypatch.setattr(file_queries, "ROWS_AT_ONCE", 10**9, raising=False)
+    monkeypatch.setattr(file_queries, "scratch", lambda _, name: f"file://{tmp_path}/formloom-{name}-{uuid.uuid4().hex}")
+    whole = sorted(map(tuple, QUERIES["corrected_files"](spark, SF).collect()))
+    assert held() == 0 and [s[0] for s in seen] == [len(whole)] * 2
+    seen.clear()
+    monkeypatch.setattr(file_queries, "ROWS_AT_ONCE", 2500)
+    assert sorted(map(tuple, QUERIES["corrected_files"](spark, SF).collect())) == whole
+    few = seen[::2]
+    assert len(few) > 1 and sum(s[0] for s in few) == len(whole) and all(s[1] == 0 for s in few) and max(s[2] for s in seen) < len(whole)
+    assert held() == 0
+    seen.clear()
+    monkeypatch.setattr(file_queries, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(file_queries, "MOST_ROUNDS", 8)
+    spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey < 70").write.parquet(f"{tmp_path}/small/lineitem.parquet")  # three documents: some rounds have none
+    assert QUERIES["corrected_files"](spark, f"{tmp_path}/small").count() == 3 and any(s[0] == 0 for s in seen)
