@@ -4,13 +4,14 @@
    count): the 64-bit hash of an n-gram, a chunk that has it, and how often. Counting within a chunk is
    the map-side sum; a frequent n-gram is one row for each chunk, however often it occurs.
 2. Partitioned by hash, the rows are summed to the count table (hash, total) of the n-grams that more
-   than one chunk has, and joined to it: each row gets the count that the other chunks have. Both sides
-   are the same exchange. An n-gram of one chunk only needs no row: its chunk knows its count.
+   than one chunk has, and joined to it: each row gets the count that the other chunks have. Within a
+   partition both are one pass over the rows in the order of their hashes, read once. An n-gram of one
+   chunk only needs no row: its chunk knows its count.
 3. The joined rows go back to their chunks and meet the documents there, whose scores are summed.
 
 The hash space is worked through in ``hash_rounds`` equal parts, and the chunks in ``chunk_rounds`` groups:
-a round's shuffle is on disk only while it lasts, whatever the size of the input. Hashes deal rows evenly, so
-the count table is joined as a hash table for each partition, without sorting.
+a round's shuffle is on disk only while it lasts, whatever the size of the input. Hashes deal rows evenly, and
+there are as many partitions as hold ``join_rows`` each, so a task's memory is fixed.
 
 A document's own occurrences are taken off every count, or every n-gram would be a known one. For a
 word w after u, v: c(uvw) / c(uv) if c(uvw) > 0; else alpha c(vw) / c(v) if c(vw) > 0; else alpha^2
@@ -155,7 +156,24 @@ def score_texts(grams: Grams, others: Callable[[np.ndarray], np.ndarray], total_
     return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * (order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
 
 
-def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 6 << 20, hash_rounds: int = 4, chunk_rounds: int = 4) -> DataFrame:
+def join_counts(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n-gram rows of a partition, a row for each n-gram and chunk, merged with the sums of their counts by hash: the sum less the row's own, and the row's number.
+
+    Only rows of n-grams that several chunks have are joined.
+    """
+    by_hash = np.argsort(hashes)
+    ordered = hashes[by_hash]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(ordered)))
+    total = np.add.reduceat(counts[by_hash], first) if len(first) else np.zeros(0, np.int64)
+    shared = size > 1
+    rows = by_hash[np.repeat(shared, size)]
+    return np.repeat(total[shared], size[shared]) - counts[rows], rows
+
+
+def backoff_scores(
+    docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 6 << 20, hash_rounds: int = 4, chunk_rounds: int = 4, join_rows: int = 1_500_000
+) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, n_words, log_score, perplexity, seen, seen_share), a row for each row.
 
     Words are lower-cased (A-Z) runs of non-space. log_score: the sum over the document's words of the
@@ -179,6 +197,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
             yield pa.RecordBatch.from_arrays([pa.array([int(_spread(b.column(0).to_pylist())[1].size)])], ["words"])
 
     total_words = int(plain.select("text").mapInArrow(counted, "words bigint").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0])
+    tables_of_round = 1 + total_words * order // (hash_rounds * join_rows)  # so a task holds join_rows of n-grams on average, at most
 
     def exploded(part: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,15 +212,23 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
                             [pa.array(some), pa.array(np.full(len(some), chunk)), pa.array(counts[at : at + 65536].astype(np.int64))], ["hash", "chunk", "n"]
                         )
 
-        return blocks.mapInArrow(run, "hash bigint, chunk bigint, n bigint").repartition("hash")
+        return blocks.mapInArrow(run, "hash bigint, chunk bigint, n bigint").repartition(tables_of_round, "hash")
 
     def joined(part: int) -> DataFrame:
-        grams = exploded(part)
-        totals = (
-            grams.groupBy("hash").agg(F.sum("n").alias("total"), F.min("chunk").alias("one"), F.max("chunk").alias("other"))
-            .where("one < other").select("hash", "total")
-        )
-        return grams.join(totals.hint("shuffle_hash"), "hash").select("chunk", "hash", (F.col("total") - F.col("n")).alias("others"))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = list(batches)
+            if not held:
+                return
+            hashes, chunks, counts = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3))
+            del held
+            others, rows = join_counts(hashes, counts)
+            by_chunk = np.argsort(chunks[rows])  # so that a reader of some chunks skips the pages of others
+            rows, others = rows[by_chunk], others[by_chunk]
+            for at in range(0, len(rows), 65536):
+                some = rows[at : at + 65536]
+                yield pa.RecordBatch.from_arrays([pa.array(chunks[some]), pa.array(hashes[some]), pa.array(others[at : at + 65536])], ["chunk", "hash", "others"])
+
+        return exploded(part).mapInArrow(run, "chunk bigint, hash bigint, others bigint")
 
     def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
         rows = rows.sort_by("spot")
@@ -227,10 +254,13 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
         )
 
     def scored(part: int, counts: DataFrame) -> DataFrame:
+        low, high = ((k << 64) // chunk_rounds - (1 << 63) for k in (part, part + 1))  # chunks are named by hashes
+        high -= 1
+
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for chunk, own in _chunked(batches, chunk_chars):
                 at = 0
-                for b in own if chunk % chunk_rounds == part else ():
+                for b in own if low <= chunk <= high else ():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(b.num_rows, chunk), pa.int64()), pa.array(np.arange(at, at + b.num_rows), pa.int64()), b.column(1), b.column(2)],
                         ["chunk", "spot", "doc_id", "text"],
@@ -238,7 +268,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ch
                     at += b.num_rows
 
         here = blocks.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
-        met = counts.where(F.pmod("chunk", F.lit(chunk_rounds)) == part)
+        met = counts.where(F.col("chunk").between(low, high))
         return here.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(
             score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint, seen_share double"
         )

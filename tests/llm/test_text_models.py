@@ -243,6 +243,17 @@ def test_backoff_scores_are_those_of_brute_force(spark, order):
     assert lm.backoff_scores(docs.limit(0)).count() == 0
 
 
+def test_join_of_counts_by_partition(spark):
+    """Many small partitions give what one gives; within one, rows whose n-gram several chunks have get the others' counts."""
+    others, rows = lm.join_counts(np.array([7, -3, 7, 5, 7, -3]), np.array([1, 2, 10, 4, 100, 3]))
+    assert dict(zip(rows.tolist(), others.tolist())) == {0: 110, 2: 101, 4: 11, 1: 3, 5: 2}
+    assert [len(x) for x in lm.join_counts(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id % 4 = 0")
+    whole, dealt = (sorted(lm.backoff_scores(docs, chunk_chars=20000, hash_rounds=2, chunk_rounds=3, join_rows=n).collect()) for n in (10**9, 1000))
+    assert len(whole) > 9 and [tuple(r)[:2] for r in whole] == [tuple(r)[:2] for r in dealt]
+    assert [r.log_score for r in whole] == pytest.approx([r.log_score for r in dealt], abs=1e-8)
+
+
 def test_backoff_scores_of_odd_rows(spark):
     long = "alpha beta gamma delta " * 20000
     rows = [(None, "alpha beta gamma"), (1, "alpha beta gamma"), (1, "alpha beta gamma"), (None, None), (2, long), (3, " \t\n"), (4, "É é alpha\x0bbeta"), (5, "Alpha BETA gamma omega")]
