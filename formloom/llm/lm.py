@@ -1,13 +1,16 @@
 """Stupid-backoff scores of documents by the n-gram counts of all other documents.
 
-1. The documents are cut into chunks of about ``chunk_chars``. Exploded n-grams are rows (hash, chunk,
-   count): the 64-bit hash of an n-gram, a chunk that has it, and how often. Counting within a chunk is
-   the map-side sum; a frequent n-gram is one row for each chunk, however often it occurs.
+1. The documents are cut into chunks of about ``chunk_chars``. Exploded n-grams are rows (hash, place): the
+   64-bit hash of an n-gram, and in bits of one number a chunk that has it, its spot among the chunk's n-grams,
+   and how often (a column of its own where the bits don't suffice). Counting within a chunk is the map-side sum; a frequent n-gram is one row for each chunk, however often it occurs.
 2. Partitioned by hash, the rows are summed to the count table (hash, total) of the n-grams that more
    than one chunk has, and joined to it: each row gets the count that the other chunks have. Within a
    partition both are one pass over the rows in the order of their hashes, read once. An n-gram of one
    chunk only needs no row: its chunk knows its count.
-3. The joined rows go back to their chunks and meet the documents there, whose scores are summed.
+3. The joined rows of a partition go back to their chunks, as a row of each chunk with lists of spots and counts,
+   and meet the documents there, whose scores are summed. Lists get shorter as chunks get more, down to the n-gram rows.
+
+The driver gets a row for each split of the input: its chunks and words, and by how many rows texts may go to Python.
 
 The hash space is worked through in ``hash_rounds`` equal parts, and the chunks in ``chunk_rounds`` groups:
 a round's shuffle is on disk only while it lasts, whatever the size of the input. Hashes deal rows evenly, and
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.common import cut, drop_cut, is_scan, pin_splits, small_batches
+from formloom.llm.common import batches_of, cut, drop_cut, is_scan, pin_splits, small_batches
 
 _U = np.uint64
 
@@ -41,77 +44,91 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_CHARS_AT_ONCE = 1 << 20
+_LONG = 64  # bytes; longer words are hashed one by one
+_BATCH_MOST = 8 << 20  # bytes of text in a batch of several rows
+_PACKED = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#spots.list.element": "false"}  # spots are in order, so their differences are small
 
 
-def _spread(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of some texts end to end: where each ends and begins, the size of each word, where it begins, and the words' bytes in lower case."""
-    held = pa.array([t or "" for t in texts], pa.large_string())
-    edges = np.frombuffer(held.buffers()[1], np.int64)[: len(held) + 1] if len(held) else np.zeros(1, np.int64)
-    data = _LOWER[np.frombuffer(held.buffers()[2], np.uint8)[edges[0] : edges[-1]]] if edges[-1] > edges[0] else np.zeros(0, np.uint8)
+def _spread(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some texts end to end: where each ends and begins, the size of each word, where it begins, and the bytes in lower case, with eight more."""
+    held = pc.fill_null(texts.cast(pa.large_string()), "")
+    held = held.combine_chunks() if isinstance(held, pa.ChunkedArray) else held
+    held = pa.concat_arrays(held.chunks) if isinstance(held, pa.ChunkedArray) else held
+    edges = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1] if len(held) else np.zeros(1, np.int64)
+    data = np.zeros(edges[-1] - edges[0] + 8, np.uint8)
+    if len(data) > 8:
+        data[:-8] = np.frombuffer(held.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    data += ((data - np.uint8(ord("A"))) < 26).view(np.uint8) << np.uint8(5)
     edges = edges - edges[0]
-    solid = ~_BLANK[data]
-    apart = np.zeros(len(data) + 1, bool)  # a text begins here, so what is before is no part of a word
+    solid = ((data != 0x20) & ((data - np.uint8(0x09)) > 4))[:-8]
+    apart = np.zeros(len(solid) + 1, bool)  # a text begins here, so what is before is no part of a word
     apart[edges] = True
-    begin = np.flatnonzero(solid & (apart[:-1] | ~np.append(False, solid[:-1])))
-    size = np.flatnonzero(solid & (apart[1:] | ~np.append(solid[1:], False))) + 1 - begin
-    return edges, size, begin, data[solid]
-
-
-def _word_hashes(chars: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word of chars, which holds them end to end: a polynomial of its bytes, mixed with its length."""
-    out = np.zeros(len(size), _U)
-    if not len(size):
-        return out
-    powers = np.cumprod(np.full(int(size.max()), 0xD6E8FEB86659FD93, _U), dtype=_U)
-    ends = np.cumsum(size)
-    at = 0
-    while at < len(size):
-        low = int(ends[at] - size[at])
-        until = max(at + 1, int(np.searchsorted(ends, low + _CHARS_AT_ONCE, "right")))
-        own, high = size[at:until], int(ends[until - 1])
-        first = np.cumsum(own) - own
-        within = np.arange(high - low, dtype=np.int32) - np.repeat(first.astype(np.int32), own)
-        out[at:until] = np.add.reduceat((chars[low:high].astype(_U) + _U(1)) * powers[within], first)
-        at = until
-    return _mix(out + size.astype(_U))
+    edge = np.ones(len(solid) + 1, bool)  # at the ends of texts and beside blanks
+    edge[1:-1] = apart[1:-1] | (solid[1:] != solid[:-1])
+    begin = np.flatnonzero(solid & edge[:-1])
+    size = np.flatnonzero(solid & edge[1:]) + 1 - begin
+    return edges, size, begin, data
+
+
+def _word_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of data, which has eight more bytes at its end: eight bytes of the word at a time, mixed with its length."""
+    out = size.astype(_U) * _U(0x9E3779B97F4A7C15)
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    rest = np.arange(len(size)) if len(size) and size.max() > _LONG else slice(None)
+    if not isinstance(rest, slice):
+        long = size > _LONG
+        out[long] = [xxhash.xxh64_intdigest(data[b : b + n]) for b, n in zip(begin[long].tolist(), size[long].tolist())]
+        rest = rest[~long]
+    at, left = begin[rest], size[rest]
+    hashes = out[rest]
+    live = slice(None)  # words that have bytes left
+    while len(left):
+        some = eights[at] & (_U(0xFFFFFFFFFFFFFFFF) >> (_U(8) * (_U(8) - np.minimum(left, 8).astype(_U))))
+        hashes[live] = _mix(hashes[live] * _U(0xD6E8FEB86659FD93) + some)
+        more = np.flatnonzero(left > 8)
+        live = more if isinstance(live, slice) else live[more]
+        at, left = at[more] + 8, left[more] - 8
+    out[rest] = hashes
+    return out
 
 
 class Grams:
     """n-gram hashes at every position of some texts; position i holds the n-gram that ends there."""
 
-    def __init__(self, texts: list[str | None], order: int):
-        edges, size, begin, chars = _spread(texts)
-        words = _word_hashes(chars, size)
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, order: int):
+        edges, size, begin, data = _spread(texts)
+        words = _word_hashes(data, begin, size)
         counts = np.diff(np.searchsorted(begin, edges))
         self.counts = counts  # words of each text
-        self.doc = np.repeat(np.arange(len(counts)), counts)
-        self.at = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)  # place in the text
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.at = np.arange(len(words), dtype=np.int32) - np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)  # place in the text
         self.hashes = [words]
         for n in range(2, order + 1):
             longer = np.zeros_like(words)
             longer[1:] = _mix(self.hashes[-1][:-1] * _U(0x9E3779B97F4A7C15) + words[1:] + _U(n))
             self.hashes.append(longer)
 
-    def kinds(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of order n: positions that end an n-gram, distinct hashes, each position's hash number, counts."""
-        spots = np.flatnonzero(self.at >= n - 1)
-        return spots, *np.unique(self.hashes[n - 1][spots], return_inverse=True, return_counts=True)
+    def part(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes from low to high, order after order and sorted within one, and their counts. The place in this list is an n-gram's spot."""
+        found = []
+        for n, h in enumerate(self.hashes):
+            found.append(np.unique(h[(h >= _U(low)) & (h <= _U(high)) & (self.at >= n)], return_counts=True))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _ranges(hash_rounds: int) -> list[tuple[int, int]]:
+    """First and last hash of each part of the hash space."""
+    edges = [(k << 64) // hash_rounds for k in range(hash_rounds + 1)]
+    return [(low, high - 1) for low, high in zip(edges, edges[1:])]
 
 
-def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """(chunk, its batches) of (block, doc_id, text): the rows of a block of a file in order, cut where chunk_chars are reached.
+def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, int, list[pa.RecordBatch]]]:
+    """(block, number of the chunk there, its batches) of (block, doc_id, text): the rows of a block of a file in order, cut where chunk_chars are reached.
 
-    A chunk is named by a hash of its block and its number there, so it is the same whenever and wherever the block is read.
+    A chunk is the same whenever and wherever its block is read.
     """
     now, number, held, size = None, 0, [], 0
 
-    def name() -> int:
-        return int(np.int64(np.uint64(xxhash.xxh64_intdigest(f"{now}/{number}"))))
-
     for b in batches:
         block, begin = b.column(0).to_numpy(), 0
         for i, n in enumerate(pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()):
@@ -119,41 +136,46 @@ def _chunked(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tu
                 if i > begin:
                     held.append(b.slice(begin, i - begin))
                 if held:
-                    yield name(), held
+                    yield now, number, held
                 number = number + 1 if block[i] == now else 0
                 now, begin, held, size = block[i], i, [], 0
             size += n
         if begin < b.num_rows:
             held.append(b.slice(begin))
     if held:
-        yield name(), held
+        yield now, number, held
 
 
-def score_texts(grams: Grams, others: Callable[[np.ndarray], np.ndarray], total_words: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(grams: Grams, others: Callable[[int, np.ndarray], np.ndarray], total_words: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
     """Sum of the log scores of each text, and how many positions each order served (order 0: unseen words).
 
-    others: from distinct hashes to the counts of their n-grams in the corpus less those in these texts.
+    others: from an order and its distinct hashes to the counts of their n-grams in the corpus less those in these texts.
     """
     order, size = len(grams.hashes), len(grams.hashes[0])
-    free = np.zeros((order + 1, size))  # counts without the own document, by order and position
-    for n in range(1, order + 1):
-        spots, hashes, number, counts = grams.kinds(n)
-        own_key = grams.doc[spots] * np.int64(len(hashes) + 1) + number
-        _, back, own = np.unique(own_key, return_inverse=True, return_counts=True)
-        free[n, spots] = (others(hashes) + counts)[number] - own[back]
     rest = total_words - grams.counts[grams.doc]
-    top = np.minimum(grams.at + 1, order)
-    log, served = np.zeros(size), np.zeros(size, np.int64)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        log[:] = -np.log(rest + 1.0)
-        for n in range(1, order + 1):
-            context = rest if n == 1 else np.append(0.0, free[n - 1, :-1])
-            has = (free[n] > 0) & (grams.at >= n - 1)
-            log = np.where(has, np.log(free[n]) - np.log(context), log)
-            served = np.where(has, n, served)
-    log += (top - served) * np.log(alpha)
+    above, below, served = np.ones(size), rest + 1.0, np.zeros(size, np.int32)  # a score is above / below, but for alpha
+    before = rest.astype(np.float64)  # counts of the contexts without the own document
+    for n in range(1, order + 1):
+        spots = np.flatnonzero(grams.at >= n - 1)
+        own_hashes = grams.hashes[n - 1][spots]
+        by_hash = np.argsort(own_hashes)
+        spots, own_hashes = spots[by_hash], own_hashes[by_hash]
+        del by_hash
+        begin = np.flatnonzero(np.append(True, own_hashes[1:] != own_hashes[:-1])) if len(spots) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(begin, len(spots)))
+        free = np.zeros(size)
+        free[spots] = np.repeat(others(n, own_hashes[begin]) + counts - 1, counts)
+        number = np.repeat(np.arange(len(begin), dtype=np.int32), counts)
+        again = np.flatnonzero(counts[number] > 1)  # an n-gram of several places may occur more than once in a document
+        number, spots = number[again], spots[again]
+        _, back, repeats = np.unique(number * np.int64(len(grams.counts)) + grams.doc[spots], return_inverse=True, return_counts=True)
+        free[spots] -= repeats[back] - 1
+        has = np.flatnonzero(free > 0)
+        above[has], below[has], served[has] = free[has], before[has], n
+        before = np.append(0.0, free[:-1])
+    log = np.log(above) - np.log(below) + (np.minimum(grams.at + 1, order) - served) * np.log(alpha)
     texts = len(grams.counts)
-    return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * (order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
+    return np.bincount(grams.doc, weights=log, minlength=texts), np.bincount(grams.doc * np.int64(order + 1) + served, minlength=texts * (order + 1)).reshape(texts, -1)
 
 
 def join_counts(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,6 +193,21 @@ def join_counts(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
     return np.repeat(total[shared], size[shared]) - counts[rows], rows
 
 
+def _bits(chunks: int, most_words: int, order: int, hash_rounds: int) -> tuple[int, int]:
+    """Bits of a place for the spot within a chunk and for the count, below those for the chunk; 0 for the count where it doesn't fit."""
+    spot, count = ((most_words * order + 1) * hash_rounds).bit_length(), most_words.bit_length()
+    return spot, count if chunks.bit_length() + spot + count < 64 else 0
+
+
+def _widest(sizes: list[int], most: int) -> int:
+    """The largest power of two, 8192 at most, so that no such number of rows in a row has more bytes than most; 1 where single rows have more."""
+    ends = np.cumsum([0, *sizes])
+    rows = 8192
+    while rows > 1 and (ends[rows:] - ends[:-rows]).max(initial=ends[-1] if len(ends) <= rows else 0) > most:
+        rows //= 2
+    return rows
+
+
 def backoff_scores(
     docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_chars: int = 6 << 20, hash_rounds: int = 4, chunk_rounds: int = 4, join_rows: int = 1_500_000
 ) -> DataFrame:
@@ -193,53 +230,73 @@ def backoff_scores(
     blocks = plain.select(F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"), "doc_id", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([int(_spread(b.column(0).to_pylist())[1].size)])], ["words"])
-
-    total_words = int(plain.select("text").mapInArrow(counted, "words bigint").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0])
+        names, sizes = ["block", "chunks", "words", "rows"], []
+        for block, _, own in _chunked(batches, chunk_chars):
+            for b in own:
+                sizes += pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
+            words = sum(_spread(b.column(2))[1].size for b in own)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([1]), pa.array([words]), pa.array([8192])], names)
+        if sizes:
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([0]), pa.array([0]), pa.array([_widest(sizes, _BATCH_MOST)])], names)
+
+    told = blocks.mapInArrow(counted, "block bigint, chunks bigint, words bigint, rows bigint").groupBy("block")
+    met = told.agg(F.sum("chunks").alias("chunks"), F.sum("words").alias("words"), F.max("words").alias("most"), F.min("rows").alias("rows")).collect()
+    batch_rows = min((r.rows for r in met), default=8192)
+    chunks_of = {r.block: r.chunks for r in sorted(met)}
+    first = dict(zip(chunks_of, np.cumsum([0, *chunks_of.values()]).tolist()))  # number of the first chunk of each block
+    total_words, total_chunks = sum(r.words for r in met), sum(chunks_of.values())
+    ranges = _ranges(hash_rounds)
+    spot_bits, count_bits = _bits(total_chunks, max((r.most for r in met), default=0), order, hash_rounds)
     tables_of_round = 1 + total_words * order // (hash_rounds * join_rows)  # so a task holds join_rows of n-grams on average, at most
 
     def exploded(part: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for chunk, own in _chunked(batches, chunk_chars):
-                grams = Grams([t for b in own for t in b.column(2).to_pylist()], order)
-                for n in range(1, order + 1):
-                    hashes = grams.hashes[n - 1][grams.at >= n - 1]
-                    hashes, counts = np.unique(hashes[hashes % _U(hash_rounds) == _U(part)], return_counts=True)
-                    for at in range(0, len(hashes), 65536):
-                        some = hashes[at : at + 65536].view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(some), pa.array(np.full(len(some), chunk)), pa.array(counts[at : at + 65536].astype(np.int64))], ["hash", "chunk", "n"]
-                        )
-
-        return blocks.mapInArrow(run, "hash bigint, chunk bigint, n bigint").repartition(tables_of_round, "hash")
+            for block, number, own in _chunked(batches, chunk_chars):
+                hashes, counts = Grams(pa.chunked_array([b.column(2) for b in own]), order).part(*ranges[part])
+                places = np.arange(len(hashes)) * hash_rounds + part + ((first[block] + number) << spot_bits)
+                columns = [hashes.view(np.int64), places << count_bits | counts] if count_bits else [hashes.view(np.int64), places, counts.astype(np.int64)]
+                for at in range(0, len(hashes), 65536):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[at : at + 65536]) for a in columns], ["hash", "place", "n"][: len(columns)])
+
+        return blocks.mapInArrow(run, "hash bigint NOT NULL, place bigint NOT NULL" + ", n bigint NOT NULL" * (not count_bits)).repartition(tables_of_round, "hash")
 
     def joined(part: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = list(batches)
             if not held:
                 return
-            hashes, chunks, counts = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3))
+            hashes, places, *counts = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(held[0].num_columns))
             del held
+            counts = places & ((1 << count_bits) - 1) if count_bits else counts[0]
             others, rows = join_counts(hashes, counts)
-            by_chunk = np.argsort(chunks[rows])  # so that a reader of some chunks skips the pages of others
-            rows, others = rows[by_chunk], others[by_chunk]
-            for at in range(0, len(rows), 65536):
-                some = rows[at : at + 65536]
-                yield pa.RecordBatch.from_arrays([pa.array(chunks[some]), pa.array(hashes[some]), pa.array(others[at : at + 65536])], ["chunk", "hash", "others"])
-
-        return exploded(part).mapInArrow(run, "chunk bigint, hash bigint, others bigint")
+            places = places[rows] >> count_bits
+            by_place = np.argsort(places)  # so that a reader of some chunks skips the pages of others
+            places, others = places[by_place], others[by_place]
+            for at in range(0, len(places), 65536):
+                chunks, spots = places[at : at + 65536] >> spot_bits, places[at : at + 65536] & ((1 << spot_bits) - 1)
+                begin = np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1]))
+                ends = pa.array(np.append(begin, len(chunks)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in (spots, others[at : at + 65536])]
+                yield pa.RecordBatch.from_arrays([pa.array(chunks[begin]), *lists], ["chunk", "spots", "others"])
+
+        return exploded(part).mapInArrow(run, "chunk bigint NOT NULL, spots array<bigint>, others array<bigint>")
 
     def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
         rows = rows.sort_by("spot")
-        grams = Grams(rows.column("text").to_pylist(), order)
-        known = counts.column("hash").to_numpy().view(_U)
-        by_hash = np.argsort(known)
-        known, found = known[by_hash], counts.column("others").to_numpy()[by_hash]
-
-        def others(hashes: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-            return np.where(known[at] == hashes, found[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
+        grams = Grams(rows.column("text"), order)
+        spots, known = (pc.list_flatten(counts.column(c)).to_numpy() for c in ("spots", "others"))
+        found = np.zeros((hash_rounds, spots.max(initial=-1) // hash_rounds + 1), np.int64)
+        found[spots % hash_rounds, spots // hash_rounds] = known
+        done = [0] * hash_rounds  # spots of lower orders
+
+        def others(n: int, hashes: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(hashes), np.int64)
+            for part, (low, high) in enumerate(ranges):
+                begin, end = int(np.searchsorted(hashes, _U(low))), int(np.searchsorted(hashes, _U(high), "right"))
+                some = found[part, done[part] : done[part] + end - begin]  # none at spots after the last one that is known
+                out[begin : begin + len(some)] = some
+                done[part] += end - begin
+            return out
 
         log, served = score_texts(grams, others, total_words, alpha)
         words = grams.counts
@@ -254,30 +311,31 @@ def backoff_scores(
         )
 
     def scored(part: int, counts: DataFrame) -> DataFrame:
-        low, high = ((k << 64) // chunk_rounds - (1 << 63) for k in (part, part + 1))  # chunks are named by hashes
-        high -= 1
+        low, high = (total_chunks * k // chunk_rounds for k in (part, part + 1))
+        those = [b for b, n in first.items() if n < high and n + chunks_of[b] > low]
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for chunk, own in _chunked(batches, chunk_chars):
-                at = 0
-                for b in own if low <= chunk <= high else ():
+            for block, number, own in _chunked(batches, chunk_chars):
+                at, chunk = 0, first[block] + number
+                for b in own if low <= chunk < high else ():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(b.num_rows, chunk), pa.int64()), pa.array(np.arange(at, at + b.num_rows), pa.int64()), b.column(1), b.column(2)],
                         ["chunk", "spot", "doc_id", "text"],
                     )
                     at += b.num_rows
 
-        here = blocks.mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
-        met = counts.where(F.col("chunk").between(low, high))
+        here = blocks.where(F.col("block").between(min(those, default=0), max(those, default=0))).mapInArrow(place, f"chunk bigint, spot bigint, doc_id {kind}, text string")
+        met = counts.where((F.col("chunk") >= low) & (F.col("chunk") < high))
         return here.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(
             score, f"doc_id {kind}, n_words bigint, log_score double, perplexity double, seen bigint, seen_share double"
         )
 
-    tables = [cut(joined(part), "counts") for part in range(hash_rounds)]
-    counts = tables[0]
-    for more in tables[1:]:
-        counts = counts.unionByName(more)
-    done = [cut(scored(part, counts), "scores") for part in range(chunk_rounds)]
+    with batches_of(spark, batch_rows):
+        tables = [cut(joined(part), "counts", _PACKED) for part in range(hash_rounds)]
+        counts = tables[0]
+        for more in tables[1:]:
+            counts = counts.unionByName(more)
+        done = [cut(scored(part, counts), "scores") for part in range(chunk_rounds)]
     for t in tables:
         drop_cut(t)
     out = done[0]

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,6 +255,42 @@ def test_join_of_counts_by_partition(spark):
     assert [r.log_score for r in whole] == pytest.approx([r.log_score for r in dealt], abs=1e-8)
 
 
+def test_rows_of_n_grams_reach_python_without_a_limit_of_bytes(spark, monkeypatch):
+    """Spark checks a limit of bytes at every row; texts are limited by a number of rows that suits their sizes, and the session's limits come back."""
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen, cut = [], lm.cut
+    monkeypatch.setattr(lm, "cut", lambda df, name, *more: seen.append((name, *map(spark.conf.get, keys))) or cut(df, name, *more))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lm.small_batches(spark)
+    before = [spark.conf.get(k) for k in keys]
+    monkeypatch.setattr(lm, "_BATCH_MOST", 100_000, raising=False)
+    assert lm.backoff_scores(docs, chunk_chars=20000, hash_rounds=1, chunk_rounds=1).count() == docs.count()
+    assert [s[:2] for s in seen] == [("counts", f"{2**31 - 1}b"), ("scores", f"{2**31 - 1}b")]
+    rows, sizes = int(seen[0][2]), [len((r.text or "").encode()) for r in docs.collect()]  # one file, one block
+    widest = lambda n: max(sum(sizes[i : i + n]) for i in range(len(sizes)))
+    assert widest(rows) <= 100_000 < widest(2 * rows) and [spark.conf.get(k) for k in keys] == before
+    assert [lm._widest(s, 10) for s in ([], [3, 4], [11, 1], [5, 5, 5, 5], [1] * 9000)] == [8192, 8192, 1, 2, 8]
+
+
+def test_counts_that_do_not_fit_into_places_are_a_column(spark, monkeypatch):
+    assert lm._bits(9000, 1 << 20, 3, 4) == (24, 21) and lm._bits(9000, 1 << 24, 3, 4) == (28, 0) and lm._bits(0, 0, 3, 4) == (3, 0)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id % 4 = 0")
+    fits = sorted(lm.backoff_scores(docs, chunk_chars=20000).collect())
+    bits = lm._bits
+    monkeypatch.setattr(lm, "_bits", lambda *a: (bits(*a)[0], 0))
+    assert len(fits) > 9 and fits == sorted(lm.backoff_scores(docs, chunk_chars=20000).collect())
+
+
+def test_word_hashes_tell_words_apart():
+    """Words that differ in one byte at any place, in case beyond A-Z or in length differ; a word's hash doesn't depend on what is around it."""
+    words = sorted({"x" * i + c + "x" * (n - i - 1) for n in (1, 7, 8, 9, 16, 17, 64, 65, 200) for i in range(n) for c in "xyé\0"} | {"É", "é", "x" * 100_000})
+    one = lm.Grams(pa.array([f" {w}\n" for w in words]), 3)
+    assert one.counts.tolist() == [1] * len(words) and len(set(one.hashes[0].tolist())) == len(words)
+    slid = lm.Grams(pa.chunked_array([pa.array(["no", None, " ".join(reversed(words))]).slice(1), pa.array(["", "A Z a z"])]), 3)
+    assert slid.counts.tolist() == [0, len(words), 0, 4] and slid.hashes[0][: len(words)].tolist() == one.hashes[0].tolist()[::-1]
+    assert slid.hashes[0][-4:-2].tolist() == slid.hashes[0][-2:].tolist()
+
+
 def test_backoff_scores_of_odd_rows(spark):
     long = "alpha beta gamma delta " * 20000
     rows = [(None, "alpha beta gamma"), (1, "alpha beta gamma"), (1, "alpha beta gamma"), (None, None), (2, long), (3, " \t\n"), (4, "É é alpha\x0bbeta"), (5, "Alpha BETA gamma omega")]
