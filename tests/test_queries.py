@@ -7,8 +7,9 @@ import uuid
 import duckdb
 import pytest
 
-from formloom.plans import file_queries, more_queries, page_queries  # noqa: F401  each registers its queries
+from formloom.plans import assemble, file_queries, more_queries, page_queries  # noqa: F401  each registers its queries
 from formloom.plans.queries import ORACLE_SQL, QUERIES
+from formloom.sources import documents, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +70,26 @@ def test_corrected_files_in_rounds(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(file_queries, "MOST_ROUNDS", 8)
     spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey < 70").write.parquet(f"{tmp_path}/small/lineitem.parquet")  # three documents: some rounds have none
     assert QUERIES["corrected_files"](spark, f"{tmp_path}/small").count() == 3 and any(s[0] == 0 for s in seen)
+
+
+def test_documents_are_made_once(spark, tmp_path, monkeypatch):
+    """A document's JSON and a text's type stand once in a plan: a filter on what is written, or lambdas that name a value often, had made them many times."""
+    frame, plans = type(spark.range(0)), []
+    through = frame.mapInArrow
+
+    def watched(self, *args, **more):
+        plans.append(through(self, *args, **more))
+        return plans[-1]
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    docs = documents.documents(spark, f"file://{tmp_path}").where("status = 'ok'").drop("status", "error").withColumnRenamed("file_name", "doc_id")
+    assert sinks.write_documents(assemble.validated(assemble.corrected(docs)), f"file://{tmp_path}", "(-cor)?(-texts)?", "-corrected.json") == (0, 0)
+    shown = plans[0]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert shown.count("structstojson") == 1 or shown.count("to_json") == 1
+    assert shown.count("[±]") <= 3  # its type, its violation, the example in the message
+
+
+def test_files_without_name_or_content(spark, tmp_path):
+    rows = [("a.txt", "x"), (None, "y"), ("c.txt", None), ("d.txt", "")]
+    assert sinks.write_files(spark.createDataFrame(rows, "name string, content string"), f"file://{tmp_path}") == (2, 1)
+    assert sorted(os.listdir(tmp_path)) == ["a.txt", "d.txt"]
